@@ -40,7 +40,8 @@ def count_cells(
     """
     if not marginals:
         raise ValueError("no marginals to count")
-    check_tables(marginals, sizes)
+    if any(table_size(m.attrs, sizes) >= 1 << CELL_BITS for m in marginals):
+        raise ValueError("a cell number does not fit the packed key")
     total = sum(table_size(m.attrs, sizes) for m in marginals)
     if total <= array_cells:
         partial = _array_counts(coded, marginals, sizes, weight)
