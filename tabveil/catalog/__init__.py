@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-GROUPS = ("prepare", "measuring", "synthesis")
+GROUPS = ("prepare", "measuring", "synthesis", "utility")
 
 
 def registered() -> dict:

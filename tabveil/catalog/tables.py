@@ -71,7 +71,7 @@ def microdata(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def keyed_microdata(spark: SparkSession, folder: str) -> DataFrame:
-    return with_row_key(microdata(spark, folder), COLUMNS)
+    return with_row_key(microdata(spark, folder), COLUMNS, places=2)
 
 
 @dataclass

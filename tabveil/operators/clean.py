@@ -42,20 +42,22 @@ def target_flag(df: DataFrame, spec: MicrodataSpec, out: str = "label") -> DataF
     return df.withColumn(out, (F.col(spec.target) == spec.positive_label).cast("int"))
 
 
-def _printable(field: T.StructField) -> Column:
+def _printable(field: T.StructField, places: int | None) -> Column:
     column = F.col(field.name)
-    if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
-        return column.cast(T.DecimalType(18, 2)).cast("string")
+    if places is not None and isinstance(field.dataType, (T.DoubleType, T.FloatType)):
+        return column.cast(T.DecimalType(18, places)).cast("string")
     return column.cast("string")
 
 
-def content_key(df: DataFrame, columns: Sequence[str]) -> Column:
-    """Hash of a row's printed values."""
+def content_key(df: DataFrame, columns: Sequence[str], places: int | None = None) -> Column:
+    """Hash of a row's printed values; numbers in full, or with ``places`` decimals if they have no more."""
     fields = {f.name: f for f in df.schema.fields}
-    return F.md5(F.concat_ws("|", *[_printable(fields[c]) for c in columns]))
+    return F.md5(F.concat_ws("|", *[_printable(fields[c], places) for c in columns]))
 
 
-def with_row_key(df: DataFrame, columns: Sequence[str], out: str = "row_key") -> DataFrame:
+def with_row_key(
+    df: DataFrame, columns: Sequence[str], out: str = "row_key", places: int | None = None
+) -> DataFrame:
     """Give each row a key that depends on its content only, copies included.
 
     Copies are counted (equal rows collapse before the shuffle, so a row that makes up a third of
@@ -64,5 +66,5 @@ def with_row_key(df: DataFrame, columns: Sequence[str], out: str = "row_key") ->
     counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
     rows = expand_ranges(counted, F.lit(0).cast("long"), F.col("_copies"), "_copy").drop("_copies")
     return rows.withColumn(
-        out, F.md5(key_of(content_key(df, columns), F.col("_copy")))
+        out, F.md5(key_of(content_key(df, columns, places), F.col("_copy")))
     ).drop("_copy")
