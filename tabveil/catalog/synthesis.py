@@ -176,15 +176,11 @@ SELECT a, b FROM rk WHERE NOT EXISTS (SELECT 1 FROM rc WHERE rc.edge = rk.r AND
 
 def tree_cpt(spark, folder):
     targets, p, _ = _targets(spark, folder)
-    tables = tree.conditional_tables(targets, WORKLOAD, ORDER, p.sizes)
-    out = None
-    for column, cuts in tables.items():
-        part = cuts.select(
-            F.lit(column).alias("attr"), "budget_id", "given", "code",
-            F.round("low", 9).alias("low"), F.round("high", 9).alias("high"),
-        )
-        out = part if out is None else out.unionByName(part)
-    return out
+    cuts = draws.intervals(draws.conditional_masses(targets, WORKLOAD, ORDER, p.sizes))
+    return cuts.filter("low < high").select(
+        "attr", "budget_id", "given", "code", F.round("low", 9).alias("low"),
+        F.round("high", 9).alias("high"),
+    )
 
 
 CPT_SQL = TARGETS + "," + ",".join(_cuts_sql(c, p) for c, p in ORDER) + " " + " UNION ALL ".join(

@@ -64,7 +64,8 @@ def with_row_key(
     the table is no hot group) and then written out again as copy 0, 1, 2, ... in chunks.
     """
     counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
-    rows = expand_ranges(counted, F.lit(0).cast("long"), F.col("_copies"), "_copy").drop("_copies")
-    return rows.withColumn(
-        out, F.md5(key_of(content_key(df, columns, places), F.col("_copy")))
-    ).drop("_copy")
+    counted = counted.withColumn("_content", content_key(df, columns, places))
+    rows = expand_ranges(counted, F.lit(0).cast("long"), F.col("_copies"), "_copy")
+    return rows.withColumn(out, F.md5(key_of(F.col("_content"), F.col("_copy")))).drop(
+        "_copy", "_copies", "_content"
+    )

@@ -1,41 +1,56 @@
 """Exact linear-interpolation quantiles of many columns at once.
 
-A quantile sketch brackets every wanted order statistic, the bracket is checked by exact counts and
-narrowed until few values remain, and only those are ranked. No task sees more than a bracket.
+Every wanted order statistic lies in an interval of values. A scan cuts all open intervals into
+equal bins (equal in the ordering of floating-point numbers, so that any distribution narrows at
+the same rate), counts them, and keeps the bin that holds the wanted rank, shrunk to its values. When few values are left
+in the open intervals, only those are ranked. A scan returns bin counts, never values.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-# Up to this many rows the built-in exact percentile's value map is small enough for one task.
-DIRECT_ROWS = 2_000_000
-# Brackets holding at most this many values in total are ranked.
-RANKED_VALUES = 2_000_000
-ACCURACY = 10_000
+# Bins per open interval and scan.
+BINS = 1024
+# Open intervals holding at most this many values in total are ranked.
+RANKED_VALUES = 1_000_000
 
 
 @dataclass
-class _Bracket:
-    column: str
-    prob: float
-    first: int
-    second: int
-    weight: float
-    low: float
-    high: float
-    below: int = 0
-    inside: int = 0
-
-    @property
-    def settled(self) -> bool:
-        return self.low == self.high
+class _Open:
+    """An interval [low, high] of positions that holds ranks ``first`` and ``second`` of a column."""
+
+    column: int
+    ranks: tuple[int, ...]
+    low: int
+    high: int
+    below: int
+    inside: int
+
+
+def positions(values: np.ndarray) -> np.ndarray:
+    """Unsigned integers in the same order as the numbers."""
+    bits = (values + 0.0).view(np.int64)
+    flipped = np.where(bits < 0, ~bits, bits | np.int64(-(2**63)))
+    return flipped.view(np.uint64)
+
+
+def number_at(position: int) -> float:
+    bits = position - 2**63 if position >= 2**63 else ~position
+    return float(np.array([bits], dtype=np.int64).view(np.float64)[0])
+
+
+def _signed(unsigned: np.ndarray) -> np.ndarray:
+    """Positions as signed integers of the same order, the type a table can hold."""
+    return (unsigned ^ np.uint64(2**63)).view(np.int64)
 
 
 def _usable(column: str):
@@ -47,9 +62,8 @@ def exact_quantiles(
     df: DataFrame,
     columns: Sequence[str],
     probs: Sequence[float],
-    direct_rows: int = DIRECT_ROWS,
+    bins: int = BINS,
     ranked_values: int = RANKED_VALUES,
-    accuracy: int = ACCURACY,
 ) -> dict[str, list[float]]:
     """Quantiles per column, nulls ignored. The result is one short list per column."""
     values = df.select(*[_usable(c).alias(c) for c in columns])
@@ -59,108 +73,120 @@ def exact_quantiles(
         ).alias(c)
         for c in columns
     ]).first()
-    if any(summary[c]["n"] == 0 for c in columns):
-        raise ValueError("a numeric column has no values")
-    if max(summary[c]["n"] for c in columns) <= direct_rows:
-        found = values.agg(*[
-            F.percentile(c, F.array(*[F.lit(float(p)) for p in probs])).alias(c) for c in columns
-        ]).first()
-        return {c: list(found[c]) for c in columns}
-    brackets = [
-        _bracket(c, p, summary[c]["n"], summary[c]["low"], summary[c]["high"])
-        for c in columns for p in probs
-    ]
-    _count(values, brackets)
-    while sum(b.inside for b in brackets if not b.settled) > ranked_values:
-        before = [(b.low, b.high) for b in brackets]
-        _narrow(values, brackets, accuracy)
-        if before == [(b.low, b.high) for b in brackets]:
+    found: dict[tuple[int, int], float] = {}
+    open_: list[_Open] = []
+    for i, c in enumerate(columns):
+        n, low, high = summary[c]["n"], summary[c]["low"], summary[c]["high"]
+        if n == 0:
+            raise ValueError(f"{c} has no values")
+        ranks = sorted({r for p in probs for r in _ranks(n, p)[:2]})
+        first, last = positions(np.array([low, high]))
+        open_.append(_Open(i, tuple(ranks), int(first), int(last), 0, n))
+    while True:
+        for o in open_:
+            if o.low == o.high:
+                found |= {(o.column, r): number_at(o.low) for r in o.ranks}
+        open_ = [o for o in open_ if o.low != o.high]
+        if not open_ or sum(o.inside for o in open_) <= ranked_values:
             break
-    return _interpolate(brackets, _order_statistics(values, brackets))
+        open_ = _narrow(values, open_, bins)
+    if open_:
+        found |= _ranked(values, columns, open_)
+    return {
+        c: [_interpolated(found, i, summary[c]["n"], p) for p in probs] for i, c in enumerate(columns)
+    }
 
 
-def _bracket(column: str, prob: float, n: int, low: float, high: float) -> _Bracket:
+def _ranks(n: int, prob: float) -> tuple[int, int, float]:
     position = (n - 1) * prob
     first = math.floor(position)
-    second = min(first + 1, n - 1) if position > first else first
-    return _Bracket(column, prob, first, second, position - first, low, high)
-
-
-def _inside(b: _Bracket):
-    return F.col(b.column).between(b.low, b.high)
-
-
-def _count(values: DataFrame, brackets: list[_Bracket]) -> None:
-    row = values.agg(*[
-        F.struct(
-            F.count_if(F.col(b.column) < b.low).alias("below"),
-            F.count_if(_inside(b)).alias("inside"),
-        ).alias(f"b{i}")
-        for i, b in enumerate(brackets)
-    ]).first()
-    for i, b in enumerate(brackets):
-        b.below, b.inside = row[f"b{i}"]["below"], row[f"b{i}"]["inside"]
-
-
-def _narrow(values: DataFrame, brackets: list[_Bracket], accuracy: int) -> None:
-    """Shrink every bracket by a sketch of its values; keep the old one where the check fails."""
-    open_ = [b for b in brackets if not b.settled]
-    exprs = []
-    for i, b in enumerate(open_):
-        margin = 3.0 / accuracy + 2.0 / b.inside
-        low = max(0.0, (b.first - b.below) / b.inside - margin)
-        high = min(1.0, (b.second - b.below + 1) / b.inside + margin)
-        exprs.append(F.percentile_approx(
-            F.when(_inside(b), F.col(b.column)), F.array(F.lit(low), F.lit(high)), F.lit(accuracy)
-        ).alias(f"b{i}"))
-    row = values.agg(*exprs).first()
-    tighter = []
-    for i, b in enumerate(open_):
-        low, high = row[f"b{i}"]
-        tighter.append(_Bracket(b.column, b.prob, b.first, b.second, b.weight, low, high))
-    _count(values, tighter)
-    for b, t in zip(open_, tighter):
-        if t.below <= t.first and t.second < t.below + t.inside:
-            b.low, b.high, b.below, b.inside = t.low, t.high, t.below, t.inside
-
-
-def _order_statistics(values: DataFrame, brackets: list[_Bracket]) -> dict[tuple[int, int], float]:
-    wanted = {}
-    for i, b in enumerate(brackets):
-        if b.settled:
-            wanted[i, b.first] = wanted[i, b.second] = b.low
-    open_ = [(i, b) for i, b in enumerate(brackets) if not b.settled]
-    if not open_:
-        return wanted
-    entries = F.array(*[
-        F.when(_inside(b), F.struct(
-            F.lit(i).alias("bracket"),
-            F.lit(b.first - b.below).alias("first"),
-            F.lit(b.second - b.below).alias("second"),
-            F.col(b.column).alias("value"),
+    return first, min(first + 1, n - 1) if position > first else first, position - first
+
+
+def _interpolated(found, column: int, n: int, prob: float) -> float:
+    first, second, weight = _ranks(n, prob)
+    low, high = found[column, first], found[column, second]
+    return low + (high - low) * weight
+
+
+def _narrow(values: DataFrame, open_: list[_Open], bins: int) -> list[_Open]:
+    """One scan: count the bins of every open interval and keep those that hold a rank."""
+    plans = [(o.column, o.low, o.high, -(-(o.high - o.low + 1) // bins)) for o in open_]
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals = np.zeros((len(plans), bins), dtype=np.int64)
+        lowest = np.full((len(plans), bins), np.iinfo(np.uint64).max, dtype=np.uint64)
+        highest = np.zeros((len(plans), bins), dtype=np.uint64)
+        for batch in batches:
+            placed = [positions(_present(batch.column(i))) for i in range(batch.num_columns)]
+            for i, (column, low, high, width) in enumerate(plans):
+                p = placed[column]
+                p = p[(p >= np.uint64(low)) & (p <= np.uint64(high))]
+                index = ((p - np.uint64(low)) // np.uint64(width)).astype(np.int64)
+                totals[i] += np.bincount(index, minlength=bins)
+                np.minimum.at(lowest[i], index, p)
+                np.maximum.at(highest[i], index, p)
+        interval, place = np.nonzero(totals)
+        at = (interval, place)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(interval), pa.array(place), pa.array(totals[at]),
+             pa.array(_signed(lowest[at])), pa.array(_signed(highest[at]))],
+            names=["interval", "bin", "n", "low", "high"],
+        )
+
+    counted = values.mapInArrow(count, "interval long, bin long, n long, low long, high long")
+    counts = counted.groupBy("interval", "bin").agg(
+        F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high")
+    )
+    upto = W.partitionBy("interval").orderBy("bin").rowsBetween(W.unboundedPreceding, 0)
+    running = counts.withColumn("end", F.sum("n").over(upto))
+    wanted = values.sparkSession.createDataFrame(
+        [(i, r - o.below) for i, o in enumerate(open_) for r in o.ranks], "interval long, rank long"
+    )
+    hits = running.join(F.broadcast(wanted), "interval").filter(
+        (F.col("rank") < F.col("end")) & (F.col("rank") >= F.col("end") - F.col("n"))
+    )
+    kept: dict[tuple[int, int], _Open] = {}
+    for r in hits.collect():  # one row per wanted rank
+        o = open_[r["interval"]]
+        entry = kept.setdefault((r["interval"], r["bin"]), _Open(
+            o.column, (), r["low"] + 2**63, r["high"] + 2**63, o.below + r["end"] - r["n"], r["n"]
         ))
-        for i, b in open_
-    ])
-    inside = values.select(F.explode(F.filter(entries, lambda e: e.isNotNull())).alias("e")).select("e.*")
-    counts = inside.groupBy("bracket", "first", "second", "value").agg(F.count(F.lit(1)).alias("n"))
-    upto = W.partitionBy("bracket").orderBy("value").rowsBetween(W.unboundedPreceding, 0)
-    placed = counts.withColumn("end", F.sum("n").over(upto)).withColumn("start", F.col("end") - F.col("n"))
+        entry.ranks = tuple(sorted({*entry.ranks, r["rank"] + o.below}))
+    return list(kept.values())
+
+
+def _present(column: pa.Array) -> np.ndarray:
+    return column.drop_null().to_numpy(zero_copy_only=False)
+
+
+def _ranked(values: DataFrame, columns: Sequence[str], open_: list[_Open]) -> dict:
+    """Order statistics of the few values that lie in open intervals."""
+    plans = [(o.column, o.low, o.high) for o in open_]
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            present = [_present(batch.column(i)) for i in range(batch.num_columns)]
+            placed = [positions(v) for v in present]
+            for i, (column, low, high) in enumerate(plans):
+                p = placed[column]
+                inside = present[column][(p >= np.uint64(low)) & (p <= np.uint64(high))]
+                value, n = np.unique(inside, return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(value), i)), pa.array(value), pa.array(n)],
+                    names=["interval", "value", "n"],
+                )
+
+    inside = values.mapInArrow(pick, "interval long, value double, n long")
+    counts = inside.groupBy("interval", "value").agg(F.sum("n").alias("n"))
+    upto = W.partitionBy("interval").orderBy("value").rowsBetween(W.unboundedPreceding, 0)
+    wanted = values.sparkSession.createDataFrame(
+        [(i, r, r - o.below) for i, o in enumerate(open_) for r in o.ranks],
+        "interval long, rank long, place long",
+    )
+    placed = counts.withColumn("end", F.sum("n").over(upto)).join(F.broadcast(wanted), "interval")
     hits = placed.filter(
-        F.col("first").between(F.col("start"), F.col("end") - 1)
-        | F.col("second").between(F.col("start"), F.col("end") - 1)
+        (F.col("place") < F.col("end")) & (F.col("place") >= F.col("end") - F.col("n"))
     )
-    # At most two rows per bracket.
-    for r in hits.collect():
-        b = brackets[r["bracket"]]
-        for rank in (b.first, b.second):
-            if r["start"] <= rank - b.below < r["end"]:
-                wanted[r["bracket"], rank] = r["value"]
-    return wanted
-
-
-def _interpolate(brackets, found) -> dict[str, list[float]]:
-    result: dict[str, list[float]] = {}
-    for i, b in enumerate(brackets):
-        low, high = found[i, b.first], found[i, b.second]
-        result.setdefault(b.column, []).append(low + (high - low) * b.weight)
-    return result
+    # One row per wanted rank.
+    return {(open_[r["interval"]].column, r["rank"]): r["value"] for r in hits.collect()}
