@@ -109,26 +109,31 @@ def information(spark, folder):
 INFO = O.base() + "," + O.information()
 
 
+def _listed(df):
+    """Attribute lists as text, the form both engines print alike."""
+    return df.withColumn("attrs", F.array_join("attrs", ","))
+
+
 def top_pairs(spark, folder):
-    return workload.top_pairs(information(spark, folder), 25)
+    return _listed(workload.top_pairs(information(spark, folder), 25))
 
 
-PAIRS_SQL = INFO + " SELECT pair_ord, [a, b] AS attrs, mi AS score FROM mi ORDER BY mi DESC, pair_ord LIMIT 25"
+PAIRS_SQL = INFO + " SELECT pair_ord, a || ',' || b AS attrs, mi AS score FROM mi ORDER BY mi DESC, pair_ord LIMIT 25"
 
 
 def top_triples(spark, folder):
     scores = workload.triple_scores(information(spark, folder), COLUMNS, "target")
-    return workload.top_triples(scores, 10)
+    return _listed(workload.top_triples(scores, 10))
 
 
-TRIPLES_SQL = INFO + "," + O.triples() + " SELECT triple_ord, attrs, score FROM ts ORDER BY score DESC, triple_ord LIMIT 10"
+TRIPLES_SQL = INFO + "," + O.triples() + " SELECT triple_ord, array_to_string(attrs, ',') AS attrs, score FROM ts ORDER BY score DESC, triple_ord LIMIT 10"
 
 
 def random_pairs(spark, folder):
     chosen = workload.top_pairs(information(spark, folder), 25)
-    return workload.random_sets(
+    return _listed(workload.random_sets(
         workload.candidate_sets(spark, COLUMNS, 2), chosen, 15, SEED, "pairs"
-    ).select("ord", "attrs")
+    ).select("ord", "attrs"))
 
 
 def _draw(purpose: str) -> str:
@@ -137,7 +142,7 @@ def _draw(purpose: str) -> str:
 
 RANDOM_SQL = INFO + f""",
 tp AS (SELECT [a, b] AS attrs FROM mi ORDER BY mi DESC, pair_ord LIMIT 25),{O.sets(2, 'c2')}
-SELECT ord, attrs FROM c2 WHERE attrs NOT IN (SELECT attrs FROM tp) ORDER BY {_draw('pairs')}, ord LIMIT 15"""
+SELECT ord, array_to_string(attrs, ',') AS attrs FROM c2 WHERE attrs NOT IN (SELECT attrs FROM tp) ORDER BY {_draw('pairs')}, ord LIMIT 15"""
 
 
 def _workload_sql(pairs: int, triples: int, more_pairs: int, more_triples: int) -> str:
@@ -160,17 +165,17 @@ tp AS (SELECT [a, b] AS attrs, mi AS score, row_number() OVER (ORDER BY mi DESC,
 tt AS (SELECT attrs, score, row_number() OVER (ORDER BY score DESC, triple_ord) AS r FROM ts QUALIFY r <= {triples}),
 al AS ({' UNION ALL '.join(parts)}),
 fi AS (SELECT * FROM al QUALIFY row_number() OVER (PARTITION BY attrs ORDER BY p, ord) = 1)
-SELECT (row_number() OVER (ORDER BY p, ord) - 1)::INTEGER AS marginal_id, attrs, kind, score FROM fi"""
+SELECT (row_number() OVER (ORDER BY p, ord) - 1)::INTEGER AS marginal_id, array_to_string(attrs, ',') AS attrs, kind, score FROM fi"""
 
 
 def workload_model(spark, folder):
-    return workload.select_workload(information(spark, folder), COLUMNS, "target", 20, 8)
+    return _listed(workload.select_workload(information(spark, folder), COLUMNS, "target", 20, 8))
 
 
 def workload_repair(spark, folder):
-    return workload.select_workload(
+    return _listed(workload.select_workload(
         information(spark, folder), COLUMNS, "target", 25, 10, 15, 8, SEED
-    )
+    ))
 
 
 def rho_budget(spark, folder):
@@ -298,13 +303,12 @@ round(greatest(min(e2), 0), 6) AS epsilon_poisson FROM ep GROUP BY ALL"""
 def number_in_text(spark, folder):
     """The number after a label in free text, over whole documents."""
     docs = read_fact(spark, folder, "documents", ["doc_id", "text"])
-    return docs.select(
-        "doc_id", accountant.number_after(F.col("text"), r"[A-Za-z]+ ").alias("number")
-    )
+    number = accountant.number_after(F.col("text"), r"[A-Za-z]+ ")
+    return docs.select("doc_id", F.when(~F.isnan(number), number).alias("number"))
 
 
-NUMBER_SQL = r"""SELECT doc_id, coalesce(TRY_CAST(regexp_extract(text, '[A-Za-z]+ \s*([0-9]+(?:\.[0-9]+)?)', 1) AS DOUBLE),
-'nan'::DOUBLE) AS number FROM documents"""
+NUMBER_SQL = r"""SELECT doc_id, TRY_CAST(regexp_extract(text, '[A-Za-z]+ \s*([0-9]+(?:\.[0-9]+)?)', 1) AS DOUBLE)
+AS number FROM documents"""
 
 
 QUERIES = {

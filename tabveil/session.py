@@ -63,6 +63,9 @@ def lookup_side(df: DataFrame, rows: int) -> DataFrame:
 
 
 def in_parallel(df: DataFrame) -> DataFrame:
-    """Spread a plain scan that has fewer input splits than cores; a no-op on any large table."""
+    """Spread a plain scan that has fewer input splits than cores; a no-op on any large table.
+
+    By hash of the row, which unlike round-robin needs no sort to be repeatable.
+    """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores, *df.columns) if df.rdd.getNumPartitions() < cores else df
