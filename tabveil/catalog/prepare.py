@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,7 +73,7 @@ SELECT target, CAST(target = '>T' AS INTEGER) AS label, count(*) AS n FROM md GR
 
 def csv_scan(spark, folder):
     """The whole table written as CSV and read back with the declared schema."""
-    path = f"{scratch_folder(spark)}/tabveil/csv"
+    path = f"{scratch_folder(spark)}/tabveil/csv-{uuid.uuid4().hex}"
     table = microdata(spark, folder)
     table.write.mode("overwrite").csv(path)
     return clean.clean(read_microdata_csv(spark, path, MICRODATA), MICRODATA)

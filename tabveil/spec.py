@@ -96,6 +96,12 @@ class SynthesisSettings:
     def budgets(self) -> list[PrivacyBudget]:
         return budgets_for(self.epsilons, self.delta)
 
+    @classmethod
+    def for_model(cls, **changes) -> SynthesisSettings:
+        """Workload sizes of the model-based job: fewer marginals, no random ones."""
+        sizes = {"top_pairs": 20, "top_triples": 8, "random_pairs": 0, "random_triples": 0}
+        return cls(**(sizes | changes))
+
 
 # The public census extract's column names in file order, their roles and its labels.
 CENSUS = MicrodataSpec(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tabveil.catalog.tables import MICRODATA, microdata
 from tabveil.operators import metrics, models, training
 from tabveil.plans import utility
-from tabveil.plans.common import prepare
+from tabveil.plans.common import prepare, save
 from tabveil.plans.model_synthesis import model_synthesis
 from tabveil.plans.private_training import feature_tables
 from tabveil.plans.repair_synthesis import repair_synthesis
@@ -128,8 +128,13 @@ def test_repair_synthesis_end_to_end(raw):
     assert auc["repair", 50.0] > 0.6
 
 
-def test_model_synthesis_end_to_end(raw):
+def test_model_synthesis_end_to_end(spark, raw, tmp_path):
     made = model_synthesis(raw, MICRODATA, SMALL)
+    save(made, str(tmp_path), SMALL, made.measured.ledger)
+    assert spark.read.parquet(f"{tmp_path}/synthetic").count() == made.coded.count()
+    assert spark.read.parquet(f"{tmp_path}/train").count() == made.source.train_rows
+    record = spark.read.json(f"{tmp_path}/run").first()
+    assert len(record["workload"]) == len(made.measured.workload) and "seed" not in record
     counts = {r["epsilon"]: r["count"] for r in made.coded.groupBy("epsilon").count().collect()}
     assert counts == {0.2: made.source.train_rows, 50.0: made.source.train_rows}
     assert made.readable.filter(F.col("n_name").isNull()).count() == 0
