@@ -129,3 +129,39 @@ SELECT page_id, octet_length(encode(h))::BIGINT AS payload_bytes, {_base32("sha1
   CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN page_id <> last THEN last END AS refers_to
 FROM p JOIN m USING (h)"""
+
+_SPACED = f"list_filter(string_split_regex({LOWER}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
+NEAR_COPIES = f"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS rid, doc_id, {_SPACED} AS w FROM documents),
+s AS (SELECT rid, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN [w]
+  ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i:i + 1])) END AS g FROM d),
+e AS (SELECT rid, doc_id, len(g) AS n, hash(x) AS x FROM (SELECT rid, doc_id, g, unnest(g) AS x FROM s)),
+r AS (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY f, x) AS i FROM (SELECT *, count(*) OVER (PARTITION BY x) AS f FROM e)),
+p AS (SELECT * FROM r WHERE i <= n - (4 * n + 4) // 5 + 1),
+c AS (SELECT DISTINCT a.rid AS ra, b.rid AS rb FROM p a JOIN p b ON a.x = b.x AND a.rid < b.rid AND least(a.n, b.n) * 100 >= greatest(a.n, b.n) * 80),
+l AS (SELECT x.doc_id AS a, y.doc_id AS b FROM c JOIN s x ON x.rid = ra JOIN s y ON y.rid = rb
+  WHERE 100 * len(list_intersect(x.g, y.g)) >= 80 * (len(x.g) + len(y.g) - len(list_intersect(x.g, y.g)))),
+u AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+reach(a, b) AS (SELECT a, b FROM u UNION SELECT reach.a, u.b FROM reach JOIN u ON reach.b = u.a),
+m AS (SELECT a, min(b) AS low FROM reach GROUP BY a)
+SELECT doc_id, len(g)::BIGINT AS n_shingles, least(doc_id, coalesce(low, doc_id)) AS component_id,
+  doc_id = least(doc_id, coalesce(low, doc_id)) AS kept FROM s LEFT JOIN m ON a = doc_id"""
+
+LINES = """
+WITH l AS (SELECT doc_id, unnest(x) AS line, generate_subscripts(x, 1) - 1 AS i FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS x FROM documents)),
+t AS (SELECT doc_id, i, list_distinct(list_filter(string_split_regex(lower(line), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')) AS w FROM l),
+q AS (SELECT list_sort(w) AS w, min((doc_id, i)) AS first FROM t WHERE len(w) > 0 GROUP BY list_sort(w)),
+s AS (SELECT row_number() OVER () AS sid, first[1] AS doc_id, first[2] AS i, w, len(w) AS n FROM q),
+e AS (SELECT sid, n, unnest(w) AS x FROM s),
+r AS (SELECT *, row_number() OVER (PARTITION BY sid ORDER BY f, x) AS k FROM (SELECT *, count(*) OVER (PARTITION BY x) AS f FROM e)),
+p AS (SELECT * FROM r WHERE k <= n - (4 * n + 4) // 5 + 1),
+c AS (SELECT DISTINCT a.sid AS sa, b.sid AS sb FROM p a JOIN p b ON a.x = b.x AND a.sid <> b.sid AND least(a.n, b.n) * 5 >= greatest(a.n, b.n) * 4),
+near AS (SELECT DISTINCT a.doc_id, a.i FROM c JOIN s a ON a.sid = sa JOIN s b ON b.sid = sb
+  WHERE (b.doc_id, b.i) < (a.doc_id, a.i) AND 5 * len(list_intersect(a.w, b.w)) >= 4 * (a.n + b.n - len(list_intersect(a.w, b.w)))),
+copies AS (SELECT t.doc_id, t.i FROM t JOIN q ON list_sort(t.w) = q.w WHERE (t.doc_id, t.i) <> q.first),
+gone AS (SELECT * FROM near UNION SELECT * FROM copies),
+o AS (SELECT l.doc_id, count(*) AS n_lines, count(gone.i) AS n_removed,
+  coalesce(string_agg(line, chr(10) ORDER BY l.i) FILTER (gone.i IS NULL), '') AS text
+  FROM l LEFT JOIN gone ON l.doc_id = gone.doc_id AND l.i = gone.i GROUP BY l.doc_id)
+SELECT doc_id, n_lines::INTEGER AS n_lines, n_removed::INTEGER AS n_removed, text,
+  n_removed > 0 AND length(regexp_replace(text, '[\\x20\\x09-\\x0D]', '', 'g')) = 0 AS emptied FROM o"""

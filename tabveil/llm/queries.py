@@ -11,6 +11,8 @@ from tabveil.llm import oracle
 from tabveil.llm.common import read
 from tabveil.llm.decontamination import contaminated_documents
 from tabveil.llm.license_scan import known_licences, license_matches
+from tabveil.llm.line_dedup import later_lines, without_lines
+from tabveil.llm.minhash_dedup import near_copies
 from tabveil.llm.piece_sampling import sample_pieces
 from tabveil.llm.quality_rules import calibrate, judge
 from tabveil.llm.secret_ledger import BASE, joined, scan_paths
@@ -43,6 +45,11 @@ def op1_token_frames(spark: SparkSession, folder: str) -> DataFrame:
     return read_shards(manifest).drop("shard")
 
 
+def op2_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups of near copies among all documents, by 2-word shingles."""
+    return near_copies(read(spark, folder, "documents"), size=2).drop("mark")
+
+
 def op3_piece_sampling(spark: SparkSession, folder: str) -> DataFrame:
     """Sampled pieces of all documents, decoded again."""
     docs = read(spark, folder, "documents")
@@ -53,6 +60,15 @@ def op3_piece_sampling(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents without the lines that an earlier line resembles."""
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    made = without_lines(docs, later_lines(docs), "doc_id", "text")
+    return made.select(
+        F.col("row.doc_id").alias("doc_id"), "n_lines", "n_removed", F.col("rest").alias("text"), "emptied"
+    )
+
+
 def op5_warc(spark: SparkSession, folder: str) -> DataFrame:
     """All pages written to archives, then read back through verified boundaries."""
     manifest = write_archives(read(spark, folder, "pages"), fresh_folder(spark, "warc"))
@@ -103,7 +119,9 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_token_frames": (op1_token_frames, None),
+    "op2_minhash_dedup": (op2_minhash_dedup, oracle.NEAR_COPIES),
     "op3_piece_sampling": (op3_piece_sampling, None),
+    "op4_line_dedup": (op4_line_dedup, oracle.LINES),
     "op5_warc": (op5_warc, oracle.ARCHIVES),
     "op7_token_counts": (op7_token_counts, None),
     "op6_secret_ledger": (op6_secret_ledger, oracle.SECRETS),
