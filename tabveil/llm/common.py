@@ -34,7 +34,7 @@ def lower_ascii(text: Column) -> Column:
 
 def pieces(text: Column, separator: str) -> Column:
     """The non-empty parts of the text between separators (a pattern)."""
-    return F.filter(F.split(text, separator), lambda w: w != "")
+    return F.array_remove(F.split(text, separator), "")
 
 
 def total(numbers: Column) -> Column:
