@@ -173,7 +173,7 @@ def near_copies(
     docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5, percent: int = PERCENT, k: int = K,
     least_overlap: int = LEAST_OVERLAP,
 ) -> DataFrame:
-    """(key, mark, n_shingles, component_id, kept) of each row."""
+    """(key, mark, n_shingles, component_id, kept, group) of each row; groups that share a key share a component id."""
     rows = stage(sketches(docs, key, text, size, k), "sketches")
     classes = stage(
         rows.where("digest is not null").groupBy("digest").agg(
@@ -217,12 +217,12 @@ def near_copies(
 
     whole = classes.select("digest", "node", "key").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     ids = whole.groupBy("root").agg(F.min("key").alias("component_id"))
-    named = whole.join(ids, "root").select(F.col("digest").alias("of"), "component_id")
+    named = whole.join(ids, "root").select(F.col("digest").alias("of"), "component_id", F.col("root").alias("group"))
     joined = rows.select("key", "mark", "n", "digest").join(named, F.col("digest") == F.col("of"), "left")
     component = F.when(F.col("digest").isNull(), F.col("key")).otherwise(F.col("component_id"))
     return joined.select(
         F.col("key").alias(key), "mark", F.col("n").alias("n_shingles"), component.alias("component_id"),
-        F.col("key").eqNullSafe(component).alias("kept"),
+        F.col("key").eqNullSafe(component).alias("kept"), "group",
     )
 
 
@@ -233,17 +233,14 @@ def drop_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", s
     rows = docs.select(F.struct("*").alias("row"), F.col(key).cast("long").alias("key"), F.xxhash64(content(text)).alias("mark"))
     rows = rows.join(gone, F.col("key").eqNullSafe(F.col("gone")) & (F.col("mark") == F.col("gone_mark")), "left_anti")
     # Rows that share the key of their group: one of them stays.
-    again = made.where("kept and n_shingles > 0").groupBy("component_id").count().where("count > 1").select("component_id")
+    again = made.where("kept and n_shingles > 0").groupBy("group").count().where("count > 1").select("group")
     shared = stage(
-        made.where("kept and n_shingles > 0").join(again, "component_id", "left_semi")
-        .select(F.col(key).alias("k"), F.col("mark").alias("m")).distinct(),
+        made.where("kept and n_shingles > 0").join(again, "group", "left_semi")
+        .select(F.col(key).alias("k"), F.col("mark").alias("m"), "group").distinct(),
         "shared",
     )
     if shared.isEmpty():
         return rows.select("row.*")
     same = F.col("key").eqNullSafe(F.col("k")) & (F.col("mark") == F.col("m"))
-    parts = made.where("n_shingles > 0").select(F.col(key).alias("k"), F.col("mark").alias("m"), "component_id").join(
-        shared, ["k", "m"], "left_semi"
-    ).distinct()
     single = rows.join(shared, same, "left_anti").select("row.*")
-    return single.unionByName(rows.join(parts, same).dropDuplicates(["component_id"]).select("row.*"))
+    return single.unionByName(rows.join(shared, same).dropDuplicates(["group"]).select("row.*"))

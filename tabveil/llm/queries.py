@@ -47,7 +47,7 @@ def op1_token_frames(spark: SparkSession, folder: str) -> DataFrame:
 
 def op2_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Groups of near copies among all documents, by 2-word shingles."""
-    return near_copies(read(spark, folder, "documents"), size=2).drop("mark")
+    return near_copies(read(spark, folder, "documents"), size=2).drop("mark", "group")
 
 
 def op3_piece_sampling(spark: SparkSession, folder: str) -> DataFrame:

@@ -273,7 +273,8 @@ def read_shards_index(manifest: DataFrame) -> DataFrame:
                 with files.open_input_file(f"{path}/{name}") as file:
                     keys = ShardReader(file, row["n_bytes"]).keys
                 yield pa.RecordBatch.from_pydict({
-                    "path": [row["path"]] * len(keys), "n_bytes": [row["n_bytes"]] * len(keys),
+                    "path": pa.array([row["path"]] * len(keys), pa.string()),
+                    "n_bytes": pa.array([row["n_bytes"]] * len(keys), pa.int64()),
                     "n": pa.array(range(len(keys)), pa.int64()), "key": pa.array(keys, pa.int64()),
                 })
 

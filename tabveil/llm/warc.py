@@ -176,7 +176,7 @@ def block_exits(manifest: DataFrame, block: int) -> DataFrame:
                 with files.open_input_file(f"{path}/{name}") as file:
                     exits = leave(successors(file, row["begin"], stop, row["n_bytes"]), stop)
                 yield pa.RecordBatch.from_pydict({
-                    "path": [row["path"]] * len(exits), "offset": pa.array([a for a, _ in exits], pa.int64()),
+                    "path": pa.array([row["path"]] * len(exits), pa.string()), "offset": pa.array([a for a, _ in exits], pa.int64()),
                     "exit": pa.array([b for _, b in exits], pa.int64()),
                 })
 
