@@ -54,6 +54,20 @@ def small_side(df: DataFrame, label: str, rows: int = BROADCAST_ROWS) -> DataFra
     return F.broadcast(kept) if kept.count() <= rows else kept
 
 
+def once_per_worker(name: str, make: Callable[[], object]) -> object:
+    """An object that a Python worker makes once and keeps for its later tasks.
+
+    Task code travels by value, so its globals don't outlive a task; the worker's module table does.
+    """
+    import sys
+    import types
+
+    kept = sys.modules.setdefault("tabveil_worker_objects", types.ModuleType("tabveil_worker_objects"))
+    if not hasattr(kept, name):
+        setattr(kept, name, make())
+    return getattr(kept, name)
+
+
 __all__ = [
-    "SPACES", "content", "let", "lower_ascii", "pieces", "read", "small_side", "stage", "total",
+    "SPACES", "content", "let", "lower_ascii", "once_per_worker", "pieces", "read", "small_side", "stage", "total",
 ]

@@ -15,6 +15,7 @@ Null and empty texts have no pieces and decode to empty. Extra columns pass thro
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabveil.llm.common import content
+from tabveil.llm.common import content, once_per_worker
 from tabveil.llm.pieces import Vocabulary, bytes_of, units_of
 
 SHARPNESS = 1 / 2000
@@ -179,7 +180,8 @@ def sample_pieces(
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sampler = None
         for batch in batches:
-            sampler = sampler or Sampler(model, sharpness, seed)
+            name = f"sampler_{zlib.crc32(model)}_{sharpness}_{seed}"
+            sampler = sampler or once_per_worker(name, lambda: Sampler(model, sharpness, seed))
             at = 0
             while at < batch.num_rows:
                 # Rows up to a bounded number of characters; a longer text stands alone.

@@ -11,13 +11,14 @@ Null and empty texts have no pieces. Repeated rows get a row each. Extra columns
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabveil.llm.common import content
+from tabveil.llm.common import content, once_per_worker
 from tabveil.llm.pieces import Vocabulary, bytes_of, units_of
 
 KNOWN_UNITS = 400_000
@@ -64,7 +65,7 @@ def count_tokens(docs: DataFrame, model: bytes, text: str = "text", keep: tuple[
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = None
         for batch in batches:
-            counter = counter or Counter(Vocabulary(model))
+            counter = counter or once_per_worker(f"counter_{zlib.crc32(model)}", lambda: Counter(Vocabulary(model)))
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
                 made = [counter.text(t) for t in part.column(0).to_pylist()]

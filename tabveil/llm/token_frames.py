@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tabveil.llm.common import content, stage
+from tabveil.llm.common import content, once_per_worker, stage
 
 # Numbers of the zstandard container and its seekable format.
 SKIPPABLE, DOCUMENTS, SEEK_MAGIC = 0x184D2A5E, 0x184D2A50, 0x8F92EAB1
@@ -75,7 +75,7 @@ class ShardWriter:
         import zstandard
 
         self.out, self.most = out, frame_ids * 4
-        self.zstd = zstandard.ZstdCompressor(level=3, write_checksum=True, write_content_size=True)
+        self.zstd = zstandard.ZstdCompressor(level=1, write_checksum=True, write_content_size=True)
         self.buffer, self.frames, self.keys, self.counts, self.bytes = bytearray(), [], [], [], 0
 
     def add(self, key: int | None, ids: bytes) -> None:
@@ -192,7 +192,9 @@ def write_shards(
                     shard = TaskContext.get().partitionId()
                     path = f"{base}/ids-{shard:06d}-{uuid.uuid4().hex}.zst"
                     out = files.open_output_stream(path, compression=None)
-                    writer, encoder = ShardWriter(out, frame_ids), Encoder(tokenizer_json, end_id)
+                    writer = ShardWriter(out, frame_ids)
+                    name = f"encoder_{zlib.crc32(tokenizer_json)}_{end_id}"
+                    encoder = once_per_worker(name, lambda: Encoder(tokenizer_json, end_id))
                 texts = part.column(1).cast(pa.binary()).to_pylist()
                 for k, ids in zip(part.column(0).to_pylist(), encoder.encode(texts)):
                     writer.add(k, ids)
