@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -20,7 +21,7 @@ def scratch_folder(spark: SparkSession) -> str:
     if named:
         return named.rstrip("/")
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", context.master):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     app = context.applicationId
     if app not in _LOCAL_SCRATCH:
