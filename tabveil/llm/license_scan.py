@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabveil.llm.common import content, small_side
+from tabveil.llm.common import content, let, small_side
 
 # Spellings that count as equal, from the public guidelines on matching licences.
 SPELLINGS = (
@@ -62,15 +62,17 @@ USE OR PERFORMANCE OF THIS SOFTWARE."""),
 
 def canonical(text: Column) -> Column:
     """The canonical form; each spelling is replaced only where it occurs at all."""
-    lower = F.lower(text)
-    no_owner = F.when(
-        F.contains(lower, F.lit("copyright")) | F.contains(lower, F.lit("(c)")) | F.contains(lower, F.lit("©")),
-        F.regexp_replace(
-            lower, r"(?m)^[ \t]*(?:copyright[ \t]+(?:\(c\)|©|[0-9])|\(c\)|©)[^\n]*$", " "
-        ),
-    ).otherwise(lower)
-    made = F.trim(F.regexp_replace(no_owner, "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+", " "))
     pairs = F.array(*[F.struct(F.lit(one).alias("one"), F.lit(other).alias("other")) for one, other in SPELLINGS])
+
+    def without_owner(lower: Column) -> Column:
+        return F.when(
+            F.contains(lower, F.lit("copyright")) | F.contains(lower, F.lit("(c)")) | F.contains(lower, F.lit("©")),
+            F.regexp_replace(
+                lower, r"(?m)^[ \t]*(?:copyright[ \t]+(?:\(c\)|©|[0-9])|\(c\)|©)[^\n]*$", " "
+            ),
+        ).otherwise(lower)
+
+    made = F.trim(F.regexp_replace(let(F.lower(text), without_owner), "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+", " "))
     return F.aggregate(
         pairs, made,
         lambda a, x: F.when(
@@ -81,8 +83,7 @@ def canonical(text: Column) -> Column:
 
 def digest(text: Column) -> Column:
     """Null if nothing is left of the text."""
-    made = canonical(text)
-    return F.when(made != "", F.sha2(made, 256))
+    return let(canonical(text), lambda made: F.when(made != "", F.sha2(made, 256)))
 
 
 def known_licences(spark: SparkSession, known: tuple = KNOWN) -> DataFrame:
