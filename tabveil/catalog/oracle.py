@@ -25,7 +25,11 @@ def printed(c: str) -> str:
     return f"CAST(CAST({c} AS DECIMAL(18,2)) AS VARCHAR)" if c in NUMERIC else c
 
 
-CONTENT = f"md5(concat_ws('|', {', '.join(printed(c) for c in COLUMNS)}))"
+def measured(c: str) -> str:
+    return f"coalesce(length({printed(c)}) || ':' || {printed(c)}, 'n')"
+
+
+CONTENT = f"md5(concat_ws('|', {', '.join(measured(c) for c in COLUMNS)}))"
 KEYED = f"""
 kd AS MATERIALIZED (
   SELECT *, md5(concat_ws('|', content, copy)) AS row_key FROM (

@@ -50,9 +50,15 @@ def _printable(field: T.StructField, places: int | None) -> Column:
 
 
 def content_key(df: DataFrame, columns: Sequence[str], places: int | None = None) -> Column:
-    """Hash of a row's printed values; numbers in full, or with ``places`` decimals if they have no more."""
+    """Hash of a row's printed values; numbers in full, or with ``places`` decimals if they have no more.
+
+    Each value stands behind its length, a null as ``n``, so different rows never print alike.
+    """
     fields = {f.name: f for f in df.schema.fields}
-    return F.md5(F.concat_ws("|", *[_printable(fields[c], places) for c in columns]))
+    printed = [_printable(fields[c], places) for c in columns]
+    return F.md5(F.concat_ws("|", *[
+        F.coalesce(F.concat(F.length(p).cast("string"), F.lit(":"), p), F.lit("n")) for p in printed
+    ]))
 
 
 def with_row_key(

@@ -100,7 +100,8 @@ class Codebook:
         local = spark.createDataFrame(rows, CODEBOOK_SCHEMA)
         if self.vocabulary is None:
             return local
-        stored = self.vocabulary.select(
+        others = self.vocabulary.filter(~F.col("attr").isin(list(self.labels))) if self.labels else self.vocabulary
+        stored = others.select(
             "attr", "pos", "code", "label", F.lit(None).cast("double").alias("lo"),
             F.lit(None).cast("double").alias("hi"), F.lit(None).cast("string").alias("warning"),
         )
@@ -170,7 +171,12 @@ def _large_codebook(spark, spec, edges, sizes, counts) -> Codebook:
     ).collect()  # one row per column
     sizes = sizes | {r["attr"]: r["size"] for r in facts}
     unknown = {r["attr"]: r["unknown"] for r in facts}
-    return Codebook(spec, edges, {}, vocabulary, sizes, unknown)
+    # The target's labels are needed as metadata whatever the size of the other vocabularies.
+    target = vocabulary.filter(F.col("attr") == spec.target)
+    kept = {}
+    if sizes[spec.target] <= KEPT_LABELS + 1:
+        kept[spec.target] = [r["label"] for r in sorted(target.collect(), key=lambda r: r["code"])]
+    return Codebook(spec, edges, kept, vocabulary, sizes, unknown)
 
 
 def _inline(book: Codebook, attr: str) -> list[str] | None:
@@ -247,6 +253,9 @@ def clip_to_domain(coded: DataFrame, sizes: dict[str, int], rounded: bool = Fals
     return coded.select(*[fix(c) if c in sizes else F.col(c) for c in coded.columns])
 
 
-def force_binary(coded: DataFrame, column: str, positive_code: int = 1) -> DataFrame:
-    flag = F.when(F.col(column) == positive_code, F.lit(1)).otherwise(F.lit(0))
+def force_binary(
+    coded: DataFrame, column: str, positive_code: int = 1, negative_code: int = 0
+) -> DataFrame:
+    """The positive code stays, every other becomes the negative one."""
+    flag = F.when(F.col(column) == positive_code, F.lit(positive_code)).otherwise(F.lit(negative_code))
     return coded.withColumn(column, flag.cast("int"))

@@ -59,6 +59,13 @@ def _attributes(marginals: Sequence[Marginal]) -> list[str]:
     return list(dict.fromkeys(a for m in marginals for a in m.attrs))
 
 
+def _checked(attr: str, size: int) -> Column:
+    """The code; a missing one or one outside the domain fails the job, however cells are counted."""
+    code = F.col(attr).cast("long")
+    wrong = F.raise_error(F.lit(f"a code of {attr} is missing or not in 0 .. {size - 1}"))
+    return F.when((code >= 0) & (code < size), code).otherwise(wrong.cast("long"))
+
+
 def _array_counts(coded, marginals, sizes, weight) -> DataFrame:
     attrs = _attributes(marginals)
     plans = [
@@ -66,7 +73,7 @@ def _array_counts(coded, marginals, sizes, weight) -> DataFrame:
          [(attrs.index(a), s) for a, s in zip(m.attrs, strides(m.attrs, sizes))])
         for m in marginals
     ]
-    columns = [F.col(a).cast("long").alias(a) for a in attrs]
+    columns = [_checked(a, sizes[a]).alias(a) for a in attrs]
     if weight:
         columns.append(F.col(weight).cast("double").alias("_weight"))
 
@@ -105,7 +112,7 @@ def _exploded(coded, marginals, sizes, weight) -> DataFrame:
         ))
     n = F.col(weight).cast("double") if weight else F.lit(1).cast("long")
     rows = coded.select(
-        F.array(*[F.col(a).cast("long") for a in attrs]).alias("codes"),
+        F.array(*[_checked(a, sizes[a]) for a in attrs]).alias("codes"),
         n.alias("n"), F.explode(F.array(*plans)).alias("p"),
     )
     packed = F.col("p.base")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -65,10 +63,11 @@ def resample(
 
 
 def fixed_batches(
-    df: DataFrame, row_key: str, rows: int, batch_size: int, seed: str, epoch: int = 0
+    df: DataFrame, row_key: str, rows: int, batch_size: int, seed: str, epoch: int = 0,
+    drop_last: bool = True,
 ) -> DataFrame:
-    """Shuffle by key and number the batches; the last partial batch is left out."""
-    batches = rows // batch_size
+    """Shuffle by key and number the batches; the last partial batch is left out unless asked for."""
+    batches = batches_in(rows, batch_size, drop_last)
     keyed = df.withColumn("_all", F.lit(0)).withColumn(
         "_u", uniform(key_of(seed, "batch", epoch, F.col(row_key)))
     )
@@ -88,5 +87,5 @@ def poisson_batch(df: DataFrame, row_key: str, rate: float, seed: str, step: int
     return df.filter(uniform(key_of(seed, "poisson", step, F.col(row_key))) < F.lit(rate))
 
 
-def batches_in(rows: int, batch_size: int) -> int:
-    return math.floor(rows / batch_size)
+def batches_in(rows: int, batch_size: int, drop_last: bool = True) -> int:
+    return rows // batch_size if drop_last else -(-rows // batch_size)

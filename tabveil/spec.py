@@ -86,7 +86,7 @@ class SynthesisSettings:
     random_triples: int = 8
     consistency_rounds: int = 8
     repair_passes: int = 6
-    max_moves: int = 2000
+    max_moves: int | None = None
     n_records: int = 0
     fit_rounds: int = 20
     step_size: float = 1.0
