@@ -185,3 +185,9 @@ def test_run_record_and_budget_folders(spark, tmp_path):
     tables.write_metrics(df, str(tmp_path / "metrics"))
     tables.write_coded(df, str(tmp_path / "coded"), "csv")
     assert spark.read.option("header", True).csv(str(tmp_path / "coded")).columns == ["epsilon", "a"]
+
+
+def test_row_keys_differ_with_separators_and_nulls(spark):
+    rows = [("a|b", "c"), ("a", "b|c"), ("a", None), (None, "a"), ("a", "n"), ("1:a", ""), ("a", None)]
+    keyed = clean.with_row_key(spark.createDataFrame(rows, "x string, y string"), ["x", "y"])
+    assert keyed.select("row_key").distinct().count() == len(rows)
