@@ -6,12 +6,14 @@ the whole sequence. Documents with equal sets form a class, found by a 128-bit d
 first, and only as many values go to the inverted lists as a pair above the threshold cannot miss (a set that
 fits its sketch: exactly; a larger one: unless fewer than ``least_overlap`` of k values agree, six and a
 half deviations below the mean). The smallest k values of two sketches' union estimate the similarity; pairs that
-may reach the threshold are verified on their full sets.
+may reach the threshold are verified on their full sets. A parity signature rules out pairs before that: each shingle
+flips one of 256 bits, so two signatures differ in no more bits than the sets differ in shingles.
 
-Links are found in two passes, as a group of n near copies has n * n pairs. First each class meets two members
-of each of its lists; linked classes become one component. Then, in lists that still hold several components,
-everything outside the most frequent one meets the members of other components. Pairs within a component need
-no test, so no link between components is lost.
+Links are found in two passes, as a group of n near copies has n * n pairs. Each list names two hubs: its member
+whose values are the most frequent ones (the original of a group, if there is one) and its first. First each class meets
+the hub that it shares most lists with; linked classes become one component. Then, in lists that still hold several
+components, everything outside the most frequent one meets the members of other components. Pairs within a component
+need no test, so no link between components is lost.
 
 Null text and texts without words have an empty set and no links. Rows with equal keys are separate documents that
 share the key; a null key is no component id unless no other is there. Repeated rows get equal results. Empty tables give no rows.
@@ -34,6 +36,7 @@ K = 64
 LEAST_OVERLAP = 30
 PERCENT = 80
 BUCKETS = 1 << 16
+PARITY = ["p0", "p1", "p2", "p3"]
 
 
 def shingle_set(text: bytes, size: int) -> np.ndarray:
@@ -63,35 +66,45 @@ def digest(values: np.ndarray) -> bytes:
     return hashlib.blake2b(values.tobytes(), digest_size=16).digest()
 
 
+def parities(sets: list[np.ndarray]) -> list[pa.Array]:
+    """64 bits of each set's signature in every column of ``PARITY``: whether an odd number of hashes fell on a bit."""
+    width = 64 * len(PARITY)
+    odd = [np.bincount((s & np.uint64(width - 1)).view("i8"), minlength=width) & 1 for s in sets]
+    bits = np.packbits(np.array(odd, "u1").reshape(-1, width), axis=1).view("i8")
+    return [pa.array(np.ascontiguousarray(bits[:, j])) for j in range(len(PARITY))]
+
+
 def listed(arrays: list[np.ndarray]) -> pa.Array:
     ends = np.cumsum([0, *map(len, arrays)])
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([*arrays, np.zeros(0, "i8")]), pa.int64()))
 
 
 def sketches(docs: DataFrame, key: str, text: str, size: int, k: int) -> DataFrame:
-    """(key, mark, n, digest, sketch) of each row; digest null for an empty set."""
+    """(key, mark, n, digest, sketch, signature) of each row; digest null for an empty set."""
     rows = docs.select(F.col(key).cast("long").alias("key"), F.xxhash64(content(text)).alias("mark"), content(text).alias("body"))
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
-                counts, digests, kept = [], [], []
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                counts, digests, kept, sets = [], [], [], []
                 for t in part.column(2).cast(pa.binary()).to_pylist():
                     values = shingle_set(t, size)
                     counts.append(len(values))
                     digests.append(digest(values) if len(values) else None)
                     kept.append(signed(values[:k]))
+                    sets.append(values)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array(counts, pa.int64()), pa.array(digests, pa.binary()), listed(kept)],
-                    ["key", "mark", "n", "digest", "sketch"],
+                    [part.column(0), part.column(1), pa.array(counts, pa.int64()), pa.array(digests, pa.binary()), listed(kept), *parities(sets)],
+                    ["key", "mark", "n", "digest", "sketch", *PARITY],
                 )
 
-    return rows.mapInArrow(make, "key long, mark long, n long, digest binary, sketch array<long>")
+    schema = "key long, mark long, n long, digest binary, sketch array<long>"
+    return rows.mapInArrow(make, schema + "".join(f", {p} long" for p in PARITY))
 
 
 def prefix_rows(classes: DataFrame, k: int, least_overlap: int, percent: int) -> DataFrame:
-    """(value, node, n): the retained values by which a class is looked up."""
+    """(value, node, n, weight): the retained values by which a class is looked up; the weight says how frequent all its values are."""
     bucket = F.col("value").bitwiseAND(BUCKETS - 1)
     counts = classes.select(F.explode("sketch").alias("value")).groupBy(bucket.alias("bucket")).count()
     # A fixed number of counters, whatever the input: rarity by hash bucket.
@@ -105,28 +118,43 @@ def prefix_rows(classes: DataFrame, k: int, least_overlap: int, percent: int) ->
             values = batch.column(2).flatten().to_numpy()
             lengths = np.minimum(sizes, k)
             owner = np.repeat(np.arange(len(nodes)), lengths)
-            order = np.lexsort((values, frequency[values & (BUCKETS - 1)], owner))
+            often = frequency[values & (BUCKETS - 1)]
+            weight = np.bincount(owner, np.log(np.maximum(often, 1)), len(nodes)) / np.maximum(lengths, 1)
+            order = np.lexsort((values, often, owner))
             rank = np.arange(len(values)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
             # Sets up to this size only meet sets that fit their sketch as well.
             exact = sizes * 100 <= k * percent
             agree = np.where(exact, -(-sizes * percent // 100), np.minimum(least_overlap, lengths))
             keep = rank < np.repeat(lengths - agree + 1, lengths)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(values[order][keep]), pa.array(nodes[owner][keep]), pa.array(sizes[owner][keep])],
-                ["value", "node", "n"],
+                [pa.array(a[keep]) for a in (values[order], nodes[owner], sizes[owner], weight[owner])],
+                ["value", "node", "n", "weight"],
             )
 
-    return classes.select("node", "n", "sketch").mapInArrow(make, "value long, node long, n long")
+    return classes.select("node", "n", "sketch").mapInArrow(make, "value long, node long, n long, weight double")
 
 
 def sizes_fit(a: Column, b: Column, percent: int) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
+def alike(a: str, b: str, percent: int) -> Column:
+    """Whether two classes' signatures let them reach the threshold; columns end in ``a`` and ``b``.
+
+    No more than this share of both sets is in one only.
+    """
+    apart = sum((F.bit_count(F.col(p + a).bitwiseXOR(F.col(p + b))) for p in PARITY), F.lit(0))
+    return apart * (100 + percent) <= (F.col("n" + a) + F.col("n" + b)) * (100 - percent)
+
+
+def signatures(suffix: str) -> list[Column]:
+    return [F.col(p).alias(p + suffix) for p in PARITY]
+
+
 def estimated(pairs: DataFrame, classes: DataFrame, k: int, least_overlap: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose union sketch lets them reach the threshold."""
-    one = classes.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
-    two = classes.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
+    one = classes.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"), *signatures("a"))
+    two = classes.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"), *signatures("b"))
     both = F.array_intersect("sa", "sb")
     union = F.slice(F.sort_array(F.array_union("sa", "sb")), 1, k)
     agree = F.size(F.array_intersect(both, union))
@@ -134,7 +162,7 @@ def estimated(pairs: DataFrame, classes: DataFrame, k: int, least_overlap: int,
     fits = F.when(
         (F.col("na") <= k) & (F.col("nb") <= k), whole * 100 >= (F.col("na") + F.col("nb") - whole) * percent
     ).otherwise(agree >= least_overlap)
-    return pairs.join(one, "a").join(two, "b").where(fits).select("a", "b")
+    return pairs.join(one, "a").join(two, "b").where(alike("a", "b", percent)).where(fits).select("a", "b")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, key: str, text: str, size: int, percent: int) -> DataFrame:
@@ -177,22 +205,26 @@ def near_copies(
     rows = stage(sketches(docs, key, text, size, k), "sketches")
     classes = stage(
         rows.where("digest is not null").groupBy("digest").agg(
-            F.min("key").alias("key"), F.first("n").alias("n"), F.first("sketch").alias("sketch")
+            F.min("key").alias("key"), F.first("n").alias("n"), F.first("sketch").alias("sketch"),
+            *[F.first(p).alias(p) for p in PARITY],
         ).withColumn("node", F.monotonically_increasing_id()),
         "classes",
     )
     prefixes = stage(prefix_rows(classes, k, least_overlap, percent), "prefixes")
     lists = prefixes.groupBy("value").agg(
-        F.count(F.lit(1)).alias("members"), F.min("node").alias("low"), F.max("node").alias("high")
+        F.count(F.lit(1)).alias("members"), F.min(F.struct("node", "n")).alias("low"),
+        F.max_by(F.struct("node", "n"), F.struct("weight", "node")).alias("high"),
     ).where("members > 1").drop("members")
-    members = stage(prefixes.join(lists, "value"), "members")
+    members = stage(prefixes.drop("weight").join(lists, "value"), "members")
 
-    # First pass: two members of each list stand for it.
-    size_of = classes.select(F.col("node").alias("hub"), F.col("n").alias("hub_n"))
-    to_hubs = members.select("node", "n", F.explode(F.array("low", "high")).alias("hub")).where("node <> hub").distinct()
-    pairs = to_hubs.join(size_of, "hub").where(sizes_fit(F.col("n"), F.col("hub_n"), percent)).select(
-        F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")
-    ).distinct()
+    # First pass: each class and the hub of most of its lists.
+    hubs = F.array_distinct(F.array("low", "high"))
+    to_hubs = members.select("node", "n", F.explode(hubs).alias("hub")).where(
+        (F.col("node") != F.col("hub.node")) & sizes_fit(F.col("n"), F.col("hub.n"), percent)
+    )
+    often = to_hubs.groupBy("node", F.col("hub.node").alias("hub")).agg(F.count(F.lit(1)).alias("c"))
+    best = often.groupBy("node").agg(F.max(F.struct("c", "hub")).getField("hub").alias("hub"))
+    pairs = stage(best.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct(), "pairs")
     links = verified(estimated(pairs, classes, k, least_overlap, percent), docs, classes, key, text, size, percent)
     links = stage(links, "links")
     roots = components(links)
@@ -202,14 +234,16 @@ def near_copies(
     counted = placed.groupBy("value", "root").agg(F.count(F.lit(1)).alias("c"))
     main = counted.groupBy("value").agg(F.max(F.struct("c", "root")).alias("m"), F.count(F.lit(1)).alias("roots"))
     open_lists = main.where("roots > 1").select("value", F.col("m.root").alias("main"))
-    placed = stage(placed.join(open_lists, "value"), "placed")
-    one = placed.where("root <> main").select("value", F.col("node").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"))
-    two = placed.select("value", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"), "main")
+    placed = stage(placed.join(open_lists, "value").join(classes.select("node", *PARITY), "node"), "placed")
+    one = placed.where("root <> main").select(
+        "value", F.col("node").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"), *signatures("a")
+    )
+    two = placed.select("value", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"), "main", *signatures("b"))
     apart = (F.col("ra") != F.col("rb")) & ((F.col("rb") == F.col("main")) | (F.col("a") < F.col("b")))
-    more = one.join(two, "value").where(apart & sizes_fit(F.col("na"), F.col("nb"), percent)).select(
+    more = one.join(two, "value").where(apart & sizes_fit(F.col("na"), F.col("nb"), percent) & alike("a", "b", percent)).select(
         F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
     ).distinct()
-    met = stage(more, "apart").join(stage(pairs, "met"), ["a", "b"], "left_anti")
+    met = stage(more, "apart").join(pairs, ["a", "b"], "left_anti")
     late = verified(estimated(met, classes, k, least_overlap, percent), docs, classes, key, text, size, percent)
     late = stage(late, "links")
     if not late.isEmpty():
