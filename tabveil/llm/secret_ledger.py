@@ -3,7 +3,8 @@
 A blob is a content, addressed by its SHA-256. The ledger (Parquet, append only) has a row for each
 blob and rule version that has been scanned, with the spans found. A scan addresses all versions, takes
 the blobs and rule versions that the ledger lacks, reads each such content once however many paths hold
-it, appends what it finds, and joins the findings back to all paths and versions.
+it (from the version whose keys have the smallest hash; repeated rows are read as often as they occur), appends what it
+finds, and joins the findings back to all paths and versions.
 
 Spans are code points, end exclusive. A rule is a pattern, matched leftmost and without overlaps,
 whose matches are kept if a group is long enough. Spans come from JVM functions: matches are set between
@@ -101,12 +102,17 @@ def scan(
     addressed = stage(address(versions, keys, text), "addressed")
     # The ledger exists from here on, if only without rows.
     spark.createDataFrame([], LEDGER).write.mode("append").parquet(ledger)
-    due = addressed.select("blob").distinct().select("blob", F.explode(rule_rows(rules)).alias("rule")).select(
-        "blob", "rule.*"
+    # One version of each blob holds its content for the scan, so the copies of a frequent blob meet in no task.
+    held = addressed.groupBy("blob").agg(F.min(F.xxhash64(*keys)).alias("holder"))
+    due = held.select("blob", "holder", F.explode(rule_rows(rules)).alias("rule")).select(
+        "blob", "holder", "rule.*"
     ).join(read_ledger(spark, ledger).select("blob", "kind", "version"), ["blob", "kind", "version"], "left_anti")
-    due = stage(due.groupBy("blob").agg(F.collect_set("kind").alias("due")), "due")
-    contents = versions.select(F.sha2(content(text), 256).alias("blob"), content(text).alias("body"))
-    unseen = contents.join(due, "blob").dropDuplicates(["blob"])
+    due = stage(due.groupBy("blob", "holder").agg(F.collect_set("kind").alias("due")), "due")
+    contents = versions.select(
+        F.sha2(content(text), 256).alias("blob"), F.xxhash64(*keys).alias("holder"), content(text).alias("body")
+    )
+    # Contents stream past the short rows of what is due; they are neither sorted nor kept.
+    unseen = contents.join(due.hint("shuffle_hash"), ["blob", "holder"])
     found = F.array(*[
         F.struct(
             F.lit(r.kind).alias("kind"), F.lit(r.version).alias("version"),
@@ -114,7 +120,8 @@ def scan(
         )
         for r in rules
     ])
-    unseen.select("blob", F.explode(found).alias("f")).select("blob", "f.*").where("spans is not null").write.mode(
+    scanned = unseen.select("blob", found.alias("all")).dropDuplicates(["blob"])
+    scanned.select("blob", F.explode("all").alias("f")).select("blob", "f.*").where("spans is not null").write.mode(
         "append"
     ).parquet(ledger)
     return addressed
