@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import math
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,8 +30,9 @@ from tabveil.llm.pieces import Vocabulary, bytes_of, units_of
 
 SHARPNESS = 1 / 2000
 SEED = 42
-KNOWN_STATES = 2_000_000
-BATCH_CHARS = 4 << 20
+KNOWN_STATES = 500_000
+DRAW_BITS = 30
+BATCH_CHARS = 1 << 20
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -44,7 +46,10 @@ STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 class Lattices:
-    """Backward choices of all units seen. State s has the choices with s < limit <= s + 1 in ``limits``."""
+    """Backward choices of all units seen. State s has the choices with s < limit <= s + 1 in ``limits``.
+
+    Limits are integers in units of 2 ** -DRAW_BITS, so a draw does not depend on the number of its state.
+    """
 
     def __init__(self, vocabulary: Vocabulary, sharpness: float):
         self.vocabulary, self.sharpness = vocabulary, sharpness
@@ -55,7 +60,8 @@ class Lattices:
 
     def clear(self) -> None:
         self.final: dict[str, int] = {}
-        self.limits, self.target, self.emit, self.n_states = [], [], [], 1  # state 0: the start
+        self.limits, self.target, self.emit = array("q"), array("q"), array("q")
+        self.n_states = 1  # state 0: the start
         self.tables = None
 
     def atom(self, raw: bytes) -> int:
@@ -69,7 +75,7 @@ class Lattices:
         s, upto = self.n_states, 0.0
         for k, (p, target, emit) in enumerate(choices):
             upto = 1.0 if k == len(choices) - 1 else upto + p
-            self.limits.append(s + min(upto, 1.0))
+            self.limits.append((s << DRAW_BITS) + round(min(upto, 1.0) * (1 << DRAW_BITS)))
             self.target.append(target)
             self.emit.append(emit)
         self.n_states += 1
@@ -106,7 +112,7 @@ class Lattices:
                 self.tables = None
             out.append(s)
         if self.tables is None:
-            self.tables = (np.array(self.limits), np.array(self.target, "i8"), np.array(self.emit, "i8"))
+            self.tables = tuple(np.array(np.frombuffer(x, "i8")) for x in (self.limits, self.target, self.emit))
         return np.array(out, "i8")
 
     def sample(self, states: np.ndarray, streams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -115,10 +121,9 @@ class Lattices:
         at, left, steps, counts = np.arange(len(states)), states, [], np.zeros(len(states), "i8")
         step = np.uint64(1)
         while len(at):
-            u = (mixed(streams[at] + STEP * step) >> np.uint64(11)).astype("f8") * 2.0**-53
+            u = (mixed(streams[at] + STEP * step) >> np.uint64(64 - DRAW_BITS)).astype("i8")
             # The first limit above; a state's last one is its number + 1.
-            choice = np.searchsorted(limits, left + u, "right")
-            choice = np.minimum(choice, np.searchsorted(limits, left + 1.0, "left"))
+            choice = np.searchsorted(limits, (left << DRAW_BITS) + u, "right")
             steps.append((at, emit[choice]))
             counts[at] += 1
             left = target[choice]
