@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tabveil.catalog import synthesis
 from tabveil.operators import draws, ranks, repair, reweight, tree
 from tabveil.operators.marginals import count_cells
 from tabveil.session import stage
@@ -118,6 +119,27 @@ def test_repair_step_equals_moving_one_by_one(spark, targets, limit, monkeypatch
     assert got == {i: tuple(r[c] for c in COLUMNS) for i, r in expected.items()}
 
 
+def test_registered_repair_moves_all_records(spark, monkeypatch):
+    """6,000 records in one cell, of which 5,000 have to move: more than any fixed number of moves per visit."""
+    m, n = Marginal(9, ("a", "b", "t")), 6000
+    start = stage(spark.range(n).selectExpr("0 AS budget_id", "id AS row_id", "0 AS a", "0 AS b", "0 AS t"), "start")
+    target = [1000.0, 0.0, 3000.0, 0.0, 0.0, 1999.4, 0.6, 0.0] + [0.0] * 16
+    rows = [(0, 9, i, v) for i, v in enumerate(target)]
+    goals = stage(spark.createDataFrame(rows, "budget_id int, marginal_id int, cell long, value double"), "goals")
+    prepared = type("Prepared", (), {"sizes": SIZES})
+    monkeypatch.setattr(synthesis, "_independent", lambda spark, folder: (start, goals, prepared, n))
+    monkeypatch.setattr(synthesis, "STEP", [repair.Visit(0, m)])
+    monkeypatch.setattr(synthesis, "TRIPLE", m)
+    monkeypatch.setattr(synthesis, "TWO_IDS", [0])
+    assert synthesis.QUERIES["repair_slots"][0](spark, "").count() == 5000
+    assert [r["keep"] for r in synthesis.QUERIES["repair_surpluses"][0](spark, "").collect()] == [5000]
+    got = {r["row_id"]: tuple(r[c] for c in COLUMNS) for r in synthesis.QUERIES["repair_step"][0](spark, "").collect()}
+    drawn = repair.with_visit_draws(start, synthesis.STEP, 1, synthesis.SEED).collect()
+    order = [r["row_id"] for r in sorted(drawn, key=lambda r: (r["_u_9"], r["row_id"]))]
+    expected = _greedy({i: dict.fromkeys(COLUMNS, 0) for i in order}, target, m.attrs, order, n)
+    assert got == {i: tuple(r[c] for c in COLUMNS) for i, r in expected.items()}
+
+
 def test_repair_reaches_the_target_and_keeps_other_columns(targets):
     start = stage(draws.sample_independent(targets, ALL, COLUMNS, SIZES, N, [0], "s"), "start")
     done = stage(
