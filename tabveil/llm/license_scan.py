@@ -11,6 +11,10 @@ normalising, the smallest name counts. Extra columns don't matter.
 
 from __future__ import annotations
 
+import re
+from itertools import count
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,6 +35,14 @@ SPELLINGS = (
     ("wilful", "willful"), ("per cent", "percent"), ("https", "http"),
 )
 
+# The rest of the public list's pairs. The query's SQL has those above only.
+MORE_SPELLINGS = (
+    ("calibre", "caliber"), ("capitalisations", "capitalizations"), ("catalogue", "catalog"),
+    ("categorise", "categorize"), ("copyright owner", "copyright holder"), ("emphasised", "emphasized"),
+    ("favourite", "favorite"), ("maximise", "maximize"), ("modelling", "modeling"), ("offence", "offense"),
+    ("optimise", "optimize"), ("wilfull", "willful"),
+)
+
 # Known licences and notices, by SPDX name.
 KNOWN = (
     ("MIT", """Permission is hereby granted, free of charge, to any person obtaining a copy of this software
@@ -59,10 +71,49 @@ USE OR PERFORMANCE OF THIS SOFTWARE."""),
     ("MIT", "SPDX-License-Identifier: MIT"),
 )
 
+# Published texts, a file each: SPDX name, then whose wording it is if there are several.
+TEXTS = Path(__file__).parent / "licences"
+# How many of a text's first lines that are not blank are its title.
+TITLE_LINES = {
+    "Apache-2.0": 3, "Artistic-1.0-Perl": 1, "CC0-1.0": 2, "MPL-1.1": 3, "MPL-2.0": 2,
+    **{n: 2 for n in (
+        "GFDL-1.2-only", "GFDL-1.3-only", "GPL-1.0-only", "GPL-2.0-only", "GPL-3.0-only",
+        "LGPL-2.0-only", "LGPL-2.1-only", "LGPL-3.0-only",
+    )},
+}
+# Titles of texts that are published with and without one.
+TITLES = {
+    "MIT": ("MIT License", "The MIT License", "The MIT License (MIT)"),
+    "ISC": ("ISC License", "The ISC License"),
+    "BSD-2-Clause": ("BSD 2-Clause License", "The BSD 2-Clause License"),
+    "BSD-3-Clause": ("BSD 3-Clause License", "The BSD 3-Clause License"),
+}
+RESERVED = "All rights reserved."
+BULLET = re.compile(r"(?m)^[ \t]*(?:\*|[0-9]\.)(?= )")
+END = "END OF TERMS AND CONDITIONS"
+
+
+def forms(name: str, text: str) -> list[str]:
+    """A whole text with and without its title, and with and without what follows its end; list items numbered or not."""
+    if name in TITLES:
+        at = count(1)
+        bodies = {text, BULLET.sub("*", text), BULLET.sub(lambda _: f"{next(at)}.", text)}
+        return [f"{t}\n{r}\n{b}" for b in sorted(bodies) for t in ("", *TITLES[name]) for r in ("", RESERVED)]
+    lines = [x for x in text.split("\n") if x.strip()]
+    whole = ["\n".join(lines), "\n".join(lines[TITLE_LINES[name]:])]
+    return whole + [x[:x.index(END) + len(END)] for x in whole if END in x]
+
+
+def published_texts() -> tuple:
+    """(name, text) of all forms of the published texts, read on the driver."""
+    found = [(f.name.removesuffix(".txt").removesuffix(".regents"), f.read_text("utf-8")) for f in sorted(TEXTS.glob("*.txt"))]
+    found += [(n, t) for n, t in KNOWN if n in TITLES and "\n" in t]
+    return tuple((n, form) for n, t in found for form in forms(n, t))
+
 
 def canonical(text: Column) -> Column:
     """The canonical form; each spelling is replaced only where it occurs at all."""
-    pairs = F.array(*[F.struct(F.lit(one).alias("one"), F.lit(other).alias("other")) for one, other in SPELLINGS])
+    pairs = F.array(*[F.struct(F.lit(one).alias("one"), F.lit(other).alias("other")) for one, other in SPELLINGS + MORE_SPELLINGS])
 
     def without_owner(lower: Column) -> Column:
         return F.when(
@@ -86,8 +137,9 @@ def digest(text: Column) -> Column:
     return let(canonical(text), lambda made: F.when(made != "", F.sha2(made, 256)))
 
 
-def known_licences(spark: SparkSession, known: tuple = KNOWN) -> DataFrame:
-    return spark.createDataFrame(list(known), "license string, license_text string")
+def known_licences(spark: SparkSession, known: tuple | None = None) -> DataFrame:
+    """(license, license_text): ``known``, or else the notices above and all published texts."""
+    return spark.createDataFrame(list(KNOWN + published_texts() if known is None else known), "license string, license_text string")
 
 
 def digests_of(known: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 import math
+import os
 import re
 import tempfile
 import zlib
@@ -322,6 +323,36 @@ def test_licences_match_after_normalising(spark, odd):
     assert license_scan.license_matches(odd, license_scan.known_licences(spark)).count() == len(ODD)
 
 
+def test_published_licences_are_known(spark):
+    import public_tokenizers
+
+    common = "/usr/share/common-licenses/"
+    names = {
+        "Apache-2.0": "Apache-2.0", "Artistic": "Artistic-1.0-Perl", "BSD": "BSD-3-Clause", "CC0-1.0": "CC0-1.0",
+        "GFDL-1.2": "GFDL-1.2-only", "GFDL-1.3": "GFDL-1.3-only", "GPL-1": "GPL-1.0-only", "GPL-2": "GPL-2.0-only",
+        "GPL-3": "GPL-3.0-only", "LGPL-2": "LGPL-2.0-only", "LGPL-2.1": "LGPL-2.1-only", "LGPL-3": "LGPL-3.0-only",
+        "MPL-1.1": "MPL-1.1", "MPL-2.0": "MPL-2.0",
+    }
+    texts = {file: open(common + file, encoding="utf-8").read() for file in names}
+    cases = [(names[file], text) for file, text in texts.items()]
+    gpl, apache = texts["GPL-3"], texts["Apache-2.0"]
+    cases += [
+        ("GPL-3.0-only", gpl[gpl.index("Copyright (C)"):]), ("GPL-3.0-only", gpl[:gpl.index("How to Apply")]),
+        ("Apache-2.0", apache[apache.index("TERMS AND"):]), ("Apache-2.0", apache.replace("copyright owner", "copyright holder")),
+        (None, gpl + " more"),
+    ]
+    with open(os.path.join(os.path.dirname(public_tokenizers.__file__), "LICENSES.txt"), encoding="utf-8") as file:
+        listed = file.read()
+    mit = listed[listed.index("MIT License"):listed.index("word_bpe_49k.json")]
+    cases += [("MIT", mit), ("MIT", mit.replace("MIT License", "")), ("MIT", mit.replace("MIT License", "The MIT License (MIT)"))]
+    docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(cases)], "doc_id long, text string")
+    got = {r["doc_id"]: r["text_license"] for r in license_scan.license_matches(docs, license_scan.known_licences(spark)).collect()}
+    assert got == {i: n for i, (n, _) in enumerate(cases)}
+    pairs = [("favourite", "favorite"), ("offence", "offense"), ("optimise", "optimize"), ("copyright owner", "copyright holder")]
+    rows = spark.createDataFrame(pairs, "a string, b string")
+    assert rows.where(license_scan.canonical(F.col("a")) == license_scan.canonical(F.col("b"))).count() == len(pairs)
+
+
 def brute_leaks(docs, items):
     def split(t):
         return [w for w in re.split(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")) if w]
