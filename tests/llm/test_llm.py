@@ -162,6 +162,33 @@ def test_lines_equal_all_pairs(odd, corpus):
     assert left.columns == odd.columns and left.where("doc_id in (3, 4, 5)").count() == 3
 
 
+def test_lines_of_documents_that_share_an_id(spark):
+    """Each row has a place of its own: different texts with one id or none, and equal rows."""
+    same = "one two three four five six seven eight nine ten"
+    texts = [f"alpha{i} beta{i} gamma{i} delta{i} eps{i}\n{same}\nonly here {i} and nowhere else {i * i}" for i in range(4)]
+    texts += [f"{same}\n\nx{i} y{i} z{i} w{i} v{i}" for i in range(2)] + [texts[0], texts[0], same + " eleven", None, ""]
+    for ids in ([7] * len(texts), [None] * len(texts), [7, None, 3] * 4):
+        docs = spark.createDataFrame([(k, t) for k, t in zip(ids, texts)], "doc_id long, text string")
+        rows = docs.select(line_dedup.place("doc_id").alias("k"), line_dedup.mark("text").alias("m"), "text").collect()
+        rows = sorted((r["k"], r["m"], r["text"] or "") for r in rows)
+        seen, want = [], []
+        for k, m, t in rows:
+            rest = []
+            for x in t.split("\n"):
+                a = set(words(x))
+                if not a or not any(5 * len(a & b) >= 4 * len(a | b) for b in seen):
+                    rest.append(x)
+                if a:
+                    seen.append(a)
+            n = len(t.split("\n"))
+            want.append((k, n, n - len(rest), "\n".join(rest), len(rest) < n and not "".join(rest).strip()))
+        made = line_dedup.without_lines(docs, line_dedup.later_lines(docs)).collect()
+        got = [(line_dedup.LOW if r["row"]["doc_id"] is None else r["row"]["doc_id"], *r[1:]) for r in made]
+        assert Counter(got) == Counter(want)
+        left = line_dedup.drop_lines(docs).collect()
+        assert Counter(r["text"] or "" for r in left) == Counter(t for _, _, _, t, emptied in want if not emptied)
+
+
 def test_pieces_are_counted_as_the_unigram_tokenizer_does(spark, odd, corpus, pieces):
     import sentencepiece
     from tokenizers import Tokenizer, models, pre_tokenizers
