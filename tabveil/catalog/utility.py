@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from tabveil.catalog import oracle as O
-from tabveil.catalog.synthesis import SHORT
+from tabveil.catalog.synthesis import REPAIR
 from tabveil.catalog.tables import MICRODATA, NUMERIC, SEED, keyed_microdata, microdata
 from tabveil.operators import clean, features, metrics, training
 from tabveil.plans import utility as utility_plan
@@ -166,16 +166,14 @@ def dp_train_sweep(spark, folder):
 
 def _real_utility(model: str, **options):
     def run(spark, folder):
-        source = prepare(microdata(spark, folder), MICRODATA, SHORT)
+        source = prepare(microdata(spark, folder), MICRODATA, REPAIR)
         return utility_plan.real_baseline(source, MICRODATA, models=[model], **options)
     return run
 
 
 def utility_of_synthetic(spark, folder):
-    made = repair_synthesis(microdata(spark, folder), MICRODATA, SHORT)
-    return utility_plan.synthetic_utility(
-        made, MICRODATA, SHORT, "repair", models=["LogisticRegression"]
-    )
+    made = repair_synthesis(microdata(spark, folder), MICRODATA, REPAIR)
+    return utility_plan.synthetic_utility(made, MICRODATA, REPAIR, "repair")
 
 
 QUERIES = {
@@ -199,7 +197,7 @@ min(score) FILTER (NOT isnan(score)) AS low, max(score) FILTER (NOT isnan(score)
     "gradient_sum": (gradient_sum, GRADIENT_SQL),
     "dp_train_sweep": (dp_train_sweep, None),
     "utility_logistic": (_real_utility("LogisticRegression"), None),
-    "utility_forest": (_real_utility("RandomForest", trees=20, depth=8), None),
+    "utility_forest": (_real_utility("RandomForest"), None),
     "utility_svm": (_real_utility("SVM"), None),
     "utility_network": (_real_utility("MLP"), None),
     "utility_of_synthetic": (utility_of_synthetic, None),

@@ -6,7 +6,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tabveil.catalog.tables import MICRODATA, microdata
+from tabveil.catalog import synthesis
+from tabveil.catalog import utility as queries
+from tabveil.catalog.tables import MICRODATA, SEED, microdata
 from tabveil.operators import metrics, models, training
 from tabveil.plans import utility
 from tabveil.plans.common import prepare, save
@@ -149,3 +151,31 @@ def test_all_classifiers_beat_chance(raw):
     got = {r["model"]: r["auc"] for r in report.collect()}
     assert set(got) == {"LogisticRegression", "RandomForest", "SVM", "MLP"}
     assert all(v > 0.8 for v in got.values())
+
+
+def test_registered_jobs_run_on_the_published_settings(monkeypatch):
+    whole, seen = SynthesisSettings(seed=SEED), []
+
+    class Made:
+        readable = None
+
+    def record(*args, **options):
+        seen.append((args[2:], options))
+        return Made
+
+    for module in (synthesis, queries):
+        monkeypatch.setattr(module, "microdata", lambda spark, folder: None)
+        monkeypatch.setattr(module, "repair_synthesis", record)
+    monkeypatch.setattr(synthesis, "model_synthesis", record)
+    monkeypatch.setattr(queries, "prepare", record)
+    monkeypatch.setattr(queries.utility_plan, "synthetic_utility", record)
+    monkeypatch.setattr(queries.utility_plan, "real_baseline", record)
+    synthesis.QUERIES["synthesise_repair"][0](None, "")
+    synthesis.QUERIES["synthesise_model"][0](None, "")
+    assert seen == [((whole,), {}), ((SynthesisSettings.for_model(seed=SEED),), {})]
+    seen.clear()
+    queries.QUERIES["utility_of_synthetic"][0](None, "")
+    queries.QUERIES["utility_forest"][0](None, "")
+    assert seen == [
+        ((whole,), {}), ((whole, "repair"), {}), ((whole,), {}), ((), {"models": ["RandomForest"]})
+    ]
