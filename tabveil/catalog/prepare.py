@@ -280,12 +280,22 @@ def batches_drop_last(spark, folder):
     return split.fixed_batches(keyed, "row_key", keyed.count(), BATCH, SEED)
 
 
+def batches_keep_last(spark, folder):
+    keyed = stage(keyed_microdata(spark, folder).select("row_key"), "keyed")
+    return split.fixed_batches(keyed, "row_key", keyed.count(), BATCH, SEED, drop_last=False)
+
+
 BATCH_SQL = f"""WITH {O.MICRODATA}, {O.KEYED}
 SELECT row_key, r // {BATCH} AS batch, r % {BATCH} AS place FROM (SELECT row_key, row_number() OVER (
   ORDER BY {O.uniform(O.key(f"'{SEED}'", "'batch'", "0", "row_key"))}, row_key) - 1 AS r FROM kd)
 WHERE r // {BATCH} < (SELECT count(*) // {BATCH} FROM kd)"""
 
 
+KEEP_LAST_SQL = f"""WITH {O.MICRODATA}, {O.KEYED}
+SELECT row_key, r // {BATCH} AS batch, r % {BATCH} AS place FROM (SELECT row_key, row_number() OVER (
+  ORDER BY {O.uniform(O.key(f"'{SEED}'", "'batch'", "0", "row_key"))}, row_key) - 1 AS r FROM kd)"""
+
+
 def poisson_batch(spark, folder):
     keyed = keyed_microdata(spark, folder).select("row_key", "target")
     return split.poisson_batch(keyed, "row_key", 0.05, SEED, step=3)
@@ -328,6 +338,7 @@ QUERIES = {
     "resample_down": (resample_down, DOWN_SQL),
     "resample_up": (resample_up, UP_SQL),
     "batches_drop_last": (batches_drop_last, BATCH_SQL),
+    "batches_keep_last": (batches_keep_last, KEEP_LAST_SQL),
     "poisson_batch": (poisson_batch, POISSON_SQL),
     "keyed_draws": (keyed_draws, DRAWS_SQL),
 }

@@ -10,7 +10,7 @@ from tabveil.catalog import synthesis
 from tabveil.catalog import utility as queries
 from tabveil.catalog.tables import MICRODATA, SEED, microdata
 from tabveil.operators import metrics, models, training
-from tabveil.plans import utility
+from tabveil.plans import private_training, utility
 from tabveil.plans.common import prepare, save
 from tabveil.plans.model_synthesis import model_synthesis
 from tabveil.plans.private_training import feature_tables
@@ -179,3 +179,21 @@ def test_registered_jobs_run_on_the_published_settings(monkeypatch):
     assert seen == [
         ((whole,), {}), ((whole, "repair"), {}), ((whole,), {}), ((), {"models": ["RandomForest"]})
     ]
+
+
+def test_private_sweep_is_whole_and_its_baseline_keeps_all_rows(spark, monkeypatch):
+    runs = []
+    table = spark.createDataFrame([(1.0, 0.2), (0.0, 0.1)], "label double, score double")
+
+    def record(rows, n, width, settings):
+        runs.append(settings)
+        return None, 0.0
+
+    monkeypatch.setattr(queries, "microdata", lambda spark, folder: None)
+    monkeypatch.setattr(private_training, "feature_tables", lambda *args: (table, table, 48_123, 3))
+    monkeypatch.setattr(private_training, "train", record)
+    monkeypatch.setattr(private_training, "predict", lambda test, *args: test)
+    assert queries.QUERIES["dp_train_sweep"][0](spark, "").count() == 6
+    assert [r.noise_multiplier for r in runs] == [0.0, 0.5, 1.0, 1.5, 2.0, 3.0]
+    assert {(r.epochs, r.batch_size) for r in runs} == {(20, 250)}
+    assert [r.drop_last for r in runs] == [False] + [True] * 5
