@@ -165,3 +165,17 @@ o AS (SELECT l.doc_id, count(*) AS n_lines, count(gone.i) AS n_removed,
   FROM l LEFT JOIN gone ON l.doc_id = gone.doc_id AND l.i = gone.i GROUP BY l.doc_id)
 SELECT doc_id, n_lines::INTEGER AS n_lines, n_removed::INTEGER AS n_removed, text,
   n_removed > 0 AND length(regexp_replace(text, '[\\x20\\x09-\\x0D]', '', 'g')) = 0 AS emptied FROM o"""
+
+# List slices of the lines; the two cuts and the order come from digits of a digest.
+MIDDLES = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+u AS (SELECT *, regexp_extract_all(t, '[^\\n]*\\n|[^\\n]+') AS l FROM d),
+c AS (SELECT *, len(l)::BIGINT AS n, ('0x' || substr(h, 1, 8))::BIGINT % (len(l) + 1) AS x, ('0x' || substr(h, 9, 8))::BIGINT % (len(l) + 1) AS y,
+  CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') THEN 'plain'
+    WHEN ('0x' || substr(h, 25, 8))::BIGINT % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM u),
+p AS (SELECT *, array_to_string(l[1:least(x, y)], '') AS pre, array_to_string(l[least(x, y) + 1:greatest(x, y)], '') AS mid,
+  array_to_string(l[greatest(x, y) + 1:], '') AS suf FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+    ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256, sha256(t) AS restored_sha256 FROM p"""

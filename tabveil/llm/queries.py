@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tabveil.llm import oracle
 from tabveil.llm.common import read
 from tabveil.llm.decontamination import contaminated_documents
+from tabveil.llm.fill_middle import fill_in_middle, restored
 from tabveil.llm.license_scan import known_licences, license_matches
 from tabveil.llm.line_dedup import later_lines, without_lines
 from tabveil.llm.minhash_dedup import near_copies
@@ -117,6 +118,15 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return contaminated_documents(read(spark, folder, "documents"), read(spark, folder, "benchmark")).drop("mark")
 
 
+def op11_fill_middle(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents cut at line ends and put in another order, with the digests of the output and of the text made from it."""
+    made = fill_in_middle(read(spark, folder, "documents"))
+    return made.select(
+        F.col("row.doc_id").alias("doc_id"), "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2(restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
 QUERIES = {
     "op1_token_frames": (op1_token_frames, None),
     "op2_minhash_dedup": (op2_minhash_dedup, oracle.NEAR_COPIES),
@@ -128,4 +138,5 @@ QUERIES = {
     "op8_quality_rules": (op8_quality_rules, oracle.QUALITY),
     "op9_license_scan": (op9_license_scan, oracle.LICENCES),
     "op10_decontamination": (op10_decontamination, oracle.LEAKS),
+    "op11_fill_middle": (op11_fill_middle, oracle.MIDDLES),
 }
