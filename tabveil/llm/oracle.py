@@ -179,3 +179,59 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix
   CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
   sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
     ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256, sha256(t) AS restored_sha256 FROM p"""
+
+
+def _edit(key: str, cost: str, letter: str, line: str = "''") -> str:
+    """A path (cost, initials, chr(1), repaired lines) with one more edit."""
+    return (
+        f"lpad((substr({key}, 1, 8)::BIGINT + {cost})::VARCHAR, 8, '0') || substr({key}, 9, instr({key}, chr(1)) - 9) || '{letter}' || "
+        f"substr({key}, instr({key}, chr(1))) || {line}"
+    )
+
+
+_USER, _ASSISTANT, _SAME = "chr(10) || 'user:'", "chr(10) || 'assistant:'", "chr(10) || role || ':' || text"
+_TO_USER = ("k0", "k1", "j3")
+
+
+def _step(before: tuple[str, ...], initial: str, name: str | None) -> str:
+    """Keeping or renaming the row after one of these states."""
+    ways = [f"CASE WHEN keep AND initial = '{initial}' THEN {_edit(b, 'extra', 'K', _SAME)} END" for b in before]
+    if name:
+        ways += [f"CASE WHEN keep THEN {_edit(b, '1 + extra', 'R', f'{name} || text')} END" for b in before]
+    return ", ".join(ways)
+
+
+# States: k0 nothing yet, k1 after a system's turn, k2 after a user's, k3 after an assistant's; j: with turns inserted.
+REPAIRS = f"""
+WITH RECURSIVE d AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+  coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key FROM conversations),
+f AS (SELECT *, xor(4294967295::BIGINT, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(key) + 1), lambda i: ord(substr(key, i::INTEGER, 1))::BIGINT)),
+  lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda v, k: xor(v // 2, (v % 2) * 3988292384)))) % 20 AS fault FROM d),
+g AS (SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+  CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+  unnest(range(CASE fault WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM f),
+o AS (SELECT *, row_number() OVER w AS i, substr(role, 1, 1) AS initial,
+  lag(substr(role, 1, 1)) OVER w || substr(role, 1, 1) NOT IN ('su', 'ua', 'au') AS bad,
+  row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS seen,
+  regexp_replace(text, '[\\x20\\x09-\\x0D]+', '', 'g') AS solid
+  FROM g WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy)),
+q AS (SELECT *, CASE WHEN solid = '' THEN 'blank' WHEN seen THEN 'duplicate' WHEN right(solid, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS kind FROM o),
+r AS (SELECT *, kind NOT IN ('blank', 'duplicate') AS keep, CASE WHEN kind = 'truncated' THEN 5 ELSE 0 END AS extra FROM q),
+st AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps, count(*) FILTER (kind = 'blank') AS blank,
+  count(*) FILTER (kind = 'duplicate') AS duplicate, count(*) FILTER (kind = 'truncated') AS truncated, count(*) FILTER (bad) AS illegal FROM r GROUP BY conv_id),
+p(conv_id, i, k0, k1, k2, k3) AS (
+  SELECT DISTINCT conv_id, 0::BIGINT, '00000000' || chr(1), NULL::VARCHAR, NULL::VARCHAR, NULL::VARCHAR FROM conversations
+  UNION ALL
+  SELECT conv_id, i, {_edit("k0", "2", "D")}, least({_edit("k1", "2", "D")}, {_step(("k0",), "s", None)}),
+    least({_edit("k2", "2", "D")}, {_step(_TO_USER, "u", _USER)}), least({_edit("k3", "2", "D")}, {_step(("j2",), "a", _ASSISTANT)})
+  FROM (SELECT *, least(k3, {_edit("j2", "5", "I", _ASSISTANT)}) AS j3 FROM (
+    SELECT p.*exclude(i), r.*exclude(conv_id), least(k2, {", ".join(_edit(k, "5", "I", _USER) for k in ("k0", "k1", "k3"))}) AS j2
+    FROM p JOIN r ON p.conv_id IS NOT DISTINCT FROM r.conv_id AND r.i = p.i + 1))),
+z AS (SELECT conv_id, least(k0, k3, {_edit("j2", "5", "I", _ASSISTANT)}) AS best FROM (
+  SELECT *, least(k2, {_edit("k0", "5", "I", _USER)}, {_edit("k1", "5", "I", _USER)}) AS j2 FROM (
+    SELECT conv_id, arg_max(k0, i) AS k0, max(i) AS n FROM p GROUP BY conv_id) m JOIN (SELECT conv_id AS c2, i AS i2, k1, k2, k3 FROM p) x
+    ON m.conv_id IS NOT DISTINCT FROM x.c2 AND m.n = x.i2))
+SELECT z.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, substr(best, 1, 8)::BIGINT AS cost, substr(best, 9, instr(best, chr(1)) - 9) AS audit,
+  sha256(substr(best, instr(best, chr(1)) + 2)) AS repaired_sha256
+FROM z LEFT JOIN st ON z.conv_id IS NOT DISTINCT FROM st.conv_id"""

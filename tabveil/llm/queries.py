@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tabveil.llm import oracle
 from tabveil.llm.common import read
+from tabveil.llm.conversations import damaged, repair, with_digests
 from tabveil.llm.decontamination import contaminated_documents
 from tabveil.llm.fill_middle import fill_in_middle, restored
 from tabveil.llm.license_scan import known_licences, license_matches
@@ -127,6 +128,12 @@ def op11_fill_middle(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """All conversations, damaged by a checksum and repaired at the least cost."""
+    rows = damaged(read(spark, folder, "conversations"), "conv_id", "turn", "role", "text")
+    return with_digests(*repair(rows)).withColumnRenamed("conv", "conv_id")
+
+
 QUERIES = {
     "op1_token_frames": (op1_token_frames, None),
     "op2_minhash_dedup": (op2_minhash_dedup, oracle.NEAR_COPIES),
@@ -139,4 +146,5 @@ QUERIES = {
     "op9_license_scan": (op9_license_scan, oracle.LICENCES),
     "op10_decontamination": (op10_decontamination, oracle.LEAKS),
     "op11_fill_middle": (op11_fill_middle, oracle.MIDDLES),
+    "op13_conversation_repair": (op13_conversation_repair, oracle.REPAIRS),
 }
