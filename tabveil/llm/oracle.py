@@ -235,3 +235,19 @@ SELECT z.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coales
   coalesce(illegal, 0) AS illegal, substr(best, 1, 8)::BIGINT AS cost, substr(best, 9, instr(best, chr(1)) - 9) AS audit,
   sha256(substr(best, instr(best, chr(1)) + 2)) AS repaired_sha256
 FROM z LEFT JOIN st ON z.conv_id IS NOT DISTINCT FROM st.conv_id"""
+
+# Sets of five words, pairs that share one of their rarest shingles, verified on the sets.
+SIMILAR = f"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS rid, doc_id, {_SPACED} AS w FROM documents),
+s AS (SELECT rid, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [hash(w)]
+  ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: hash(w[i:i + 4]))) END AS g FROM d),
+e AS (SELECT rid, len(g) AS n, unnest(g) AS x FROM s),
+r AS (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY f, x) AS i FROM (SELECT *, count(*) OVER (PARTITION BY x) AS f FROM e)),
+p AS (SELECT * FROM r WHERE i <= n - (4 * n + 4) // 5 + 1 AND f > 1),
+c AS (SELECT DISTINCT a.rid AS ra, b.rid AS rb FROM p a JOIN p b ON a.x = b.x AND a.rid < b.rid AND least(a.n, b.n) * 100 >= greatest(a.n, b.n) * 80),
+l AS (SELECT x.doc_id AS a, y.doc_id AS b FROM c JOIN s x ON x.rid = ra JOIN s y ON y.rid = rb
+  WHERE 100 * len(list_intersect(x.g, y.g)) >= 80 * (len(x.g) + len(y.g) - len(list_intersect(x.g, y.g)))),
+u AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+reach(a, b) AS (SELECT a, b FROM u UNION SELECT reach.a, u.b FROM reach JOIN u ON reach.b = u.a),
+m AS (SELECT a, min(b) AS low FROM reach GROUP BY a)
+SELECT doc_id, len(g)::BIGINT AS n_shingles, least(doc_id, coalesce(low, doc_id)) AS component_id FROM s LEFT JOIN m ON a = doc_id"""

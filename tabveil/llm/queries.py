@@ -12,6 +12,7 @@ from tabveil.llm.common import read
 from tabveil.llm.conversations import damaged, repair, with_digests
 from tabveil.llm.decontamination import contaminated_documents
 from tabveil.llm.fill_middle import fill_in_middle, restored
+from tabveil.llm.jaccard_join import similar_documents
 from tabveil.llm.license_scan import known_licences, license_matches
 from tabveil.llm.line_dedup import later_lines, without_lines
 from tabveil.llm.minhash_dedup import near_copies
@@ -128,6 +129,11 @@ def op11_fill_middle(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of all documents that share most of their 5-word shingles."""
+    return similar_documents(read(spark, folder, "documents")).drop("mark", "group")
+
+
 def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     """All conversations, damaged by a checksum and repaired at the least cost."""
     rows = damaged(read(spark, folder, "conversations"), "conv_id", "turn", "role", "text")
@@ -146,5 +152,6 @@ QUERIES = {
     "op9_license_scan": (op9_license_scan, oracle.LICENCES),
     "op10_decontamination": (op10_decontamination, oracle.LEAKS),
     "op11_fill_middle": (op11_fill_middle, oracle.MIDDLES),
+    "op12_jaccard_join": (op12_jaccard_join, oracle.SIMILAR),
     "op13_conversation_repair": (op13_conversation_repair, oracle.REPAIRS),
 }
