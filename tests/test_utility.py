@@ -1,6 +1,7 @@
 """Metrics, classifiers, private training, and the end-to-end jobs."""
 
 import math
+from dataclasses import replace
 
 import numpy as np
 import pytest
@@ -10,6 +11,7 @@ from tabveil.catalog import synthesis
 from tabveil.catalog import utility as queries
 from tabveil.catalog.tables import MICRODATA, SEED, microdata
 from tabveil.operators import metrics, models, training
+from tabveil.operators.split import fixed_batches
 from tabveil.plans import private_training, utility
 from tabveil.plans.common import prepare, save
 from tabveil.plans.model_synthesis import model_synthesis
@@ -92,6 +94,68 @@ def test_gradient_sum_equals_one_machine(spark, microbatches):
     assert np.allclose(training.gradient_sum(df, w, settings, 3), expected, atol=1e-9)
 
 
+def _numpy_training(x, y, settings, epochs_batches):
+    """The same steps on one machine, with every single gradient."""
+    shapes = training.layer_shapes(x.shape[1], settings.hidden)
+    w = training.first_weights(x.shape[1], settings.hidden, settings.seed)
+    for step, places in enumerate(epochs_batches):
+        g = training.row_gradients(w, shapes, x[places], y[places])
+        per = settings.batch_size // settings.microbatches
+        if settings.clip_norm is None:
+            total = g.sum(axis=0) / max(len(places), 1)
+        else:
+            g = g.reshape(-1, per, g.shape[1]).mean(axis=1)
+            units = settings.microbatches
+            total = (training.clipped(g, settings.clip_norm).sum(axis=0) + training.noise_draw(settings, step, len(w))) / units
+        w = w - settings.learning_rate * total
+    return w
+
+
+@pytest.mark.parametrize("microbatches", [300, 50])
+def test_runs_that_train_together_equal_numpy(spark, microbatches):
+    rng = np.random.default_rng(3)
+    n, size = 1000, 300
+    x, y = rng.normal(size=(n, 4)).astype("f4").astype("f8"), rng.integers(0, 2, n).astype(float)
+    rows = spark.createDataFrame([(str(i), [float(v) for v in x[i]], float(y[i])) for i in range(n)], "row_key string, features array<float>, label double")
+    base = training.TrainingSettings(epochs=2, batch_size=size, microbatches=microbatches, learning_rate=0.3, clip_norm=0.4, hidden=(5, 3), seed="q")
+    runs = [replace(base, clip_norm=None, drop_last=False), base, replace(base, noise_multiplier=1.5)]
+    got, _ = training.train_together(stage(rows, "rows"), n, 4, runs)
+    for drop_last, one, weights in zip((False, True, True), runs, got):
+        steps = []
+        for epoch in range(2):
+            placed = fixed_batches(rows, "row_key", n, size, "q", epoch, drop_last).orderBy("batch", "place").collect()
+            steps += [[int(r["row_key"]) for r in placed if r["batch"] == b] for b in range(4 if not drop_last else 3)]
+        assert np.allclose(weights, _numpy_training(x, y, one, steps), atol=1e-9)
+
+
+def test_rows_join_by_chance(spark):
+    n, size = 3000, 100
+    rows = stage(spark.range(n).select(F.col("id").cast("string").alias("row_key"), F.array(F.lit(1.0).cast("float")).alias("features"), F.lit(1.0).alias("label")), "rows")
+    joins = [training.poisson_batches(rows, "row_key", n, size, "s", e) for e in range(6)]
+    sizes = [r["count"] for j in joins for r in j.groupBy("batch").count().collect()]
+    # 180 batches of Binomial(3000, 1/30): mean 100, deviation 9.8.
+    assert len(sizes) == 180 and abs(np.mean(sizes) - size) < 4 and 8 < np.std(sizes) < 11.7
+    per_row = joins[0].groupBy("row_key").count().groupBy("count").count().collect()
+    found = {r[0]: r[1] for r in per_row}
+    # A row joins 0, 1, 2, ... of 30 batches; a batch has a row once.
+    expected = [n * math.comb(30, k) * (1 / 30) ** k * (29 / 30) ** (30 - k) for k in range(5)]
+    assert all(abs(found.get(k, 0) - expected[k]) < 5 * expected[k] ** 0.5 for k in range(1, 5))
+    assert joins[0].groupBy("row_key", "batch").count().filter("count > 1").isEmpty()
+    again = training.poisson_batches(rows.repartition(7), "row_key", n, size, "s", 0)
+    assert again.exceptAll(joins[0]).isEmpty() and joins[0].exceptAll(again).isEmpty()
+    base = training.TrainingSettings(epochs=1, batch_size=size, microbatches=size, clip_norm=0.5, hidden=(), sampler="poisson", seed="s")
+    weights, _ = training.train(rows, n, 1, base)
+    steps = [[int(r["row_key"]) for r in joins[0].where(F.col("batch") == b).collect()] for b in range(30)]
+    x, y = np.ones((n, 1)), np.ones(n)
+    w = training.first_weights(1, (), "s")
+    for places in steps:
+        g = training.clipped(training.row_gradients(w, training.layer_shapes(1, ()), x[places], y[places]), 0.5)
+        w = w - base.learning_rate * g.sum(axis=0) / size
+    assert np.allclose(weights, w, atol=1e-9)
+    with pytest.raises(ValueError):
+        replace(base, microbatches=50)
+
+
 SMALL = SynthesisSettings(
     epsilons=(0.2, 50.0), top_pairs=5, top_triples=2, random_pairs=1, random_triples=0,
     consistency_rounds=2, repair_passes=1, fit_rounds=2, seed="s",
@@ -183,16 +247,16 @@ def test_registered_jobs_run_on_the_published_settings(monkeypatch):
 
 def test_private_sweep_is_whole_and_its_baseline_keeps_all_rows(spark, monkeypatch):
     runs = []
-    table = spark.createDataFrame([(1.0, 0.2), (0.0, 0.1)], "label double, score double")
+    table = spark.createDataFrame([(1.0, [0.2] * 6), (0.0, [0.1] * 6)], "label double, scores array<double>")
 
     def record(rows, n, width, settings):
-        runs.append(settings)
+        runs.extend(settings)
         return None, 0.0
 
     monkeypatch.setattr(queries, "microdata", lambda spark, folder: None)
     monkeypatch.setattr(private_training, "feature_tables", lambda *args: (table, table, 48_123, 3))
-    monkeypatch.setattr(private_training, "train", record)
-    monkeypatch.setattr(private_training, "predict", lambda test, *args: test)
+    monkeypatch.setattr(private_training, "train_together", record)
+    monkeypatch.setattr(private_training, "predict_all", lambda test, *args: test)
     assert queries.QUERIES["dp_train_sweep"][0](spark, "").count() == 6
     assert [r.noise_multiplier for r in runs] == [0.0, 0.5, 1.0, 1.5, 2.0, 3.0]
     assert {(r.epochs, r.batch_size) for r in runs} == {(20, 250)}
