@@ -9,7 +9,7 @@ from tabveil.catalog.tables import (
     BUDGETS, COLUMNS, DELTA, EPSILONS, NUMERIC, SEED, WORKLOAD, microdata, prepared,
 )
 from tabveil.functions.accounting import sigma_column
-from tabveil.operators import accountant, consistency, marginals, noise, workload
+from tabveil.operators import accountant, consistency, marginals, noise, selection, workload
 from tabveil.session import stage
 from tabveil.sources.tables import read_fact
 from tabveil.spec import Marginal
@@ -225,6 +225,67 @@ CASE WHEN charged THEN (SELECT count(*) FROM fi) ELSE 0 END::INTEGER AS queries,
 CASE WHEN charged THEN round({O.RHO}, 9) ELSE 0 END AS rho FROM bu, us"""
 
 
+SHARE = 0.25
+PAID_PAIRS, PAID_TRIPLES = 20, 8
+
+
+def _paid(spark, folder):
+    rows = microdata(spark, folder).count()
+    return selection.PaidSelection(selection.selection_rho(BUDGETS[2:], SHARE), rows, SEED)
+
+
+def paid_sets(spark, folder):
+    """Pairs and target triples chosen by noisy scores; the scores are shown here for the comparison only."""
+    chosen = workload.paid_sets(information(spark, folder), COLUMNS, "target", PAID_PAIRS, PAID_TRIPLES, _paid(spark, folder))
+    parts = [
+        df.select(F.lit(kind).alias("kind"), "attrs", F.round("noisy", 6).alias("noisy")) for kind, df in zip(("pair", "triple"), chosen)
+    ]
+    return _listed(parts[0].unionByName(parts[1]))
+
+
+def paid_workload(spark, folder):
+    """The workload of the model job, its ranking paid for."""
+    return _listed(workload.select_workload(
+        information(spark, folder), COLUMNS, "target", PAID_PAIRS, PAID_TRIPLES, paid=_paid(spark, folder)
+    ))
+
+
+def paid_ledger(spark, folder):
+    paid = _paid(spark, folder)
+    chosen = workload.as_marginals(workload.select_workload(
+        information(spark, folder), COLUMNS, "target", PAID_PAIRS, PAID_TRIPLES, paid=paid
+    ))
+    ledger = noise.privacy_ledger(spark, BUDGETS[2:], len(chosen), PAID_PAIRS + PAID_TRIPLES, paid.rho)
+    return ledger.withColumn("rho", F.round("rho", 9))
+
+
+_SPENT = f"(SELECT {SHARE}::DOUBLE * min({O.RHO}) FROM bu WHERE budget_id >= 2)"
+
+
+def _gumbel(purpose: str, order: str) -> str:
+    k = O.key(f"'{SEED}'", "'select'", f"'{purpose}'", order)
+    return f"(-ln(-ln(({O.hash52(f'sha256({k})')} + 0.5::DOUBLE) / 4503599627370496::DOUBLE)))"
+
+
+PAID = INFO + "," + O.triples() + f""",{O.BUDGETS},
+ch AS (SELECT 2 / n * ln((n + 1) / 2) + (n - 1) / n * ln((n + 1) / (n - 1)) AS d,
+  2::DOUBLE / sqrt(8 * {_SPENT} / {PAID_PAIRS + PAID_TRIPLES}) AS s FROM (SELECT count(*)::DOUBLE AS n FROM cd)),
+np AS (SELECT [a, b] AS attrs, round(mi + s * d * {_gumbel('pairs', 'pair_ord')}, 9) AS noisy, pair_ord AS o FROM mi, ch),
+nt AS (SELECT attrs, round(score + s * 2.5::DOUBLE * d * {_gumbel('triples', 'triple_ord')}, 9) AS noisy, triple_ord AS o FROM ts, ch),
+tp AS (SELECT *, row_number() OVER (ORDER BY noisy DESC, o) AS r FROM np QUALIFY r <= {PAID_PAIRS}),
+tt AS (SELECT *, row_number() OVER (ORDER BY noisy DESC, o) AS r FROM nt QUALIFY r <= {PAID_TRIPLES}),{O.sets(1, 'c1')},
+fi AS (SELECT 0 AS p, ord, attrs, 'one' AS kind FROM c1 UNION ALL SELECT 1, r, attrs, 'pair' FROM tp UNION ALL SELECT 2, r, attrs, 'triple' FROM tt)"""
+PAID_SETS_SQL = PAID + """ SELECT 'pair' AS kind, array_to_string(attrs, ',') AS attrs, round(noisy, 6) AS noisy FROM tp
+UNION ALL SELECT 'triple', array_to_string(attrs, ','), round(noisy, 6) FROM tt"""
+PAID_WORKLOAD_SQL = PAID + """ SELECT (row_number() OVER (ORDER BY p, ord) - 1)::INTEGER AS marginal_id,
+array_to_string(attrs, ',') AS attrs, kind, NULL::DOUBLE AS score FROM fi"""
+PAID_LEDGER_SQL = PAID + f""",
+us AS (SELECT * FROM (VALUES ('bin edges', 0, 0), ('vocabularies', 0, 0), ('column ranking', {PAID_PAIRS + PAID_TRIPLES}, 1),
+  ('row count', 0, 0), ('marginals', (SELECT count(*) FROM fi)::INTEGER, 2)) t(used_for, queries, kind))
+SELECT budget_id, epsilon, used_for, queries > 0 AS charged, queries,
+round(CASE us.kind WHEN 0 THEN 0 WHEN 1 THEN {_SPENT} ELSE {O.RHO} - {_SPENT} END, 9) AS rho FROM bu, us WHERE budget_id >= 2"""
+
+
 def _cells_in(spark, folder, budgets=TWO):
     p = prepared(spark, folder)
     coded = stage(p.coded, "coded")
@@ -363,6 +424,9 @@ ON cd.l_quantity = g.l_quantity AND cd.l_discount = g.l_discount AND cd.target =
     ),
     "epsilon_sweep": (_noisy(WORKLOAD, True, BUDGETS, K), _noisy_sql(WORKLOAD, True, "true", K)),
     "privacy_ledger": (privacy_ledger, LEDGER_SQL),
+    "paid_sets": (paid_sets, PAID_SETS_SQL),
+    "paid_workload": (paid_workload, PAID_WORKLOAD_SQL),
+    "paid_ledger": (paid_ledger, PAID_LEDGER_SQL),
     "dpsgd_epsilon": (dpsgd_epsilon, EPSILON_SQL),
     "number_in_text": (number_in_text, NUMBER_SQL),
     "normalise_marginals": (normalise_marginals, NORMAL_SQL),

@@ -7,17 +7,15 @@ from pyspark.sql import functions as F
 from tabveil.catalog import oracle as O
 from tabveil.catalog.measuring import BY_ATTRS, TRIPLE, information
 from tabveil.catalog.tables import BUDGETS, COLUMNS, MICRODATA, SEED, WORKLOAD, microdata, prepared
+from tabveil.functions.accounting import sigma_for
 from tabveil.operators import consistency, draws, marginals, noise, repair, reweight, tree
 from tabveil.plans.model_synthesis import model_synthesis
 from tabveil.plans.repair_synthesis import repair_synthesis
 from tabveil.session import stage
 from tabveil.spec import SynthesisSettings
 
-TWO = BUDGETS[2:4]
-TWO_IDS = [b.budget_id for b in TWO]
-ROUNDS = 2
-# The SQL below still stops after so many moves per visit; the queries move all.
-MAX_MOVES = 2000
+IDS = [b.budget_id for b in BUDGETS]
+ROUNDS = 8
 DISJOINT = [
     TRIPLE, BY_ATTRS["n_name", "r_name"], BY_ATTRS["o_orderstatus", "o_orderpriority", "c_mktsegment"],
 ]
@@ -25,52 +23,57 @@ STEP = [repair.Visit(0, m) for m in DISJOINT]
 # A forest that the schema alone determines.
 EDGES = [m.attrs for m in WORKLOAD if len(m.attrs) == 2 and m.attrs not in [("l_quantity", "l_extendedprice")]]
 ORDER = tree.sampling_order(EDGES, COLUMNS, "target")
+# Every measured pair counts alike, so that the schema alone determines the two parents as well.
+TWO_PARENTS = tree.two_parent_order(dict.fromkeys(EDGES, 1.0), [m.attrs for m in WORKLOAD], COLUMNS, "target")
+SIGMAS = {b.budget_id: sigma_for(b.epsilon, b.delta, len(WORKLOAD)) for b in BUDGETS}
 
 
 def _targets(spark, folder):
     p = prepared(spark, folder)
     coded = stage(p.coded, "coded")
     cells = marginals.dense_cells(coded, WORKLOAD, p.sizes)
-    noisy = noise.measure(cells, TWO, len(WORKLOAD), SEED).withColumnRenamed("noisy", "value")
+    noisy = noise.measure(cells, BUDGETS, len(WORKLOAD), SEED).withColumnRenamed("noisy", "value")
     n = coded.count()
     return stage(consistency.make_consistent(noisy, WORKLOAD, p.sizes, n, ROUNDS), "targets"), p, n
 
 
-TARGETS = O.measured(WORKLOAD, where="budget_id IN (2, 3)") + "," + O.consistent(WORKLOAD, ROUNDS)
+TARGETS = O.measured(WORKLOAD) + "," + O.consistent(WORKLOAD, ROUNDS)
 
 
-def _cuts_sql(column: str, parent: str | None) -> str:
-    """Intervals of one column, optionally per parent code."""
-    single = BY_ATTRS[(column,)].marginal_id
-    if parent is None:
-        source = f"SELECT budget_id, 0 AS given, cell::INTEGER AS code, value FROM fin WHERE marginal_id = {single}"
-    else:
-        pair = next(m for m in WORKLOAD if len(m.attrs) == 2 and set(m.attrs) == {parent, column})
-        source = f"""SELECT t.budget_id, given, code, CASE WHEN sum(t.value) OVER (PARTITION BY t.budget_id, given) > 0
+def _table_sql(column: str, parents: tuple[str, ...]) -> str:
+    """(budget_id, given, code, value) of a column's table over its parents, with the stand-ins for codes without mass."""
+    m = next(m for m in WORKLOAD if len(m.attrs) == len(parents) + 1 and set(m.attrs) == {column, *parents})
+    if not parents:
+        return f"SELECT budget_id, 0 AS given, cell::INTEGER AS code, value FROM fin WHERE marginal_id = {m.marginal_id}"
+    return f"""SELECT t.budget_id, t.given, t.code, CASE WHEN sum(t.value) OVER (PARTITION BY t.budget_id, t.given) > 0
   THEN t.value ELSE o.value END AS value FROM (
-  SELECT budget_id, {O.projected(pair.attrs, (parent,))}::INTEGER AS given, {O.projected(pair.attrs, (column,))}::INTEGER AS code, value
-  FROM fin, dom WHERE marginal_id = {pair.marginal_id}) t
-  JOIN fin o ON o.budget_id = t.budget_id AND o.marginal_id = {single} AND o.cell = t.code"""
+  SELECT budget_id, {O.projected(m.attrs, parents)}::INTEGER AS given, z_{parents[-1]} AS width,
+    {O.projected(m.attrs, (column,))}::INTEGER AS code, value FROM fin, dom WHERE marginal_id = {m.marginal_id}) t
+  JOIN ({_table_sql(column, parents[:-1])}) o ON o.budget_id = t.budget_id AND o.given = t.given // t.width AND o.code = t.code"""
+
+
+def _cuts_sql(column: str, parents: tuple[str, ...]) -> str:
+    """Intervals of one column, per code of its parents."""
     return f"""
 cu_{column} AS MATERIALIZED (SELECT budget_id, given, code,
   coalesce(sum(value) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
     / sum(value) OVER (PARTITION BY budget_id, given) AS low,
   CASE WHEN lead(code) OVER w IS NULL THEN 1 ELSE sum(value) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
     / sum(value) OVER (PARTITION BY budget_id, given) END AS high
-  FROM ({source}) WHERE value > 0 WINDOW w AS (PARTITION BY budget_id, given ORDER BY code))"""
+  FROM ({_table_sql(column, parents)}) WHERE value > 0 WINDOW w AS (PARTITION BY budget_id, given ORDER BY code))"""
 
 
 def _sample_sql(order, purpose: str, name: str) -> str:
     """Rows drawn column by column."""
+    order = [(c, draws.parents_of((c, p))) for c, p in order]
     text = ",".join(_cuts_sql(c, p) for c, p in order)
     text += f""",
-s0 AS MATERIALIZED (SELECT budget_id, r AS row_id FROM bu, (SELECT unnest(range((SELECT count(*) FROM cd))) AS r)
-  WHERE budget_id IN (2, 3))"""
+s0 AS MATERIALIZED (SELECT budget_id, r AS row_id FROM bu, (SELECT unnest(range((SELECT count(*) FROM cd))) AS r))"""
     for i, (c, p) in enumerate(order):
         u = O.uniform(O.key(f"'{SEED}'", f"'{purpose}'", "s.budget_id", str(i // 2), "s.row_id"), i % 2)
-        given = "0" if p is None else f"s.{p}"
+        given = "0" if not p else O.cell(p, "s.")
         text += f""",
-s{i + 1} AS MATERIALIZED (SELECT s.* EXCLUDE (u), code AS {c} FROM (SELECT *, {u} AS u FROM s{i} s) s
+s{i + 1} AS MATERIALIZED (SELECT s.* EXCLUDE (u), code AS {c} FROM (SELECT s.*, {u} AS u FROM s{i} s) s {"CROSS JOIN dom" if len(p) > 1 else ""}
   JOIN cu_{c} c ON c.budget_id = s.budget_id AND c.given = {given} AND s.u >= c.low AND s.u < c.high)"""
     return text + f", {name} AS MATERIALIZED (SELECT * FROM s{len(order)})"
 
@@ -80,7 +83,7 @@ INDEPENDENT = _sample_sql([(c, None) for c in COLUMNS], "independent", "sy")
 
 def _independent(spark, folder):
     targets, p, n = _targets(spark, folder)
-    rows = draws.sample_independent(targets, WORKLOAD, COLUMNS, p.sizes, n, TWO_IDS, SEED)
+    rows = draws.sample_independent(targets, WORKLOAD, COLUMNS, p.sizes, n, IDS, SEED)
     return rows, targets, p, n
 
 
@@ -93,7 +96,7 @@ def _differences(spark, folder):
     staged = stage(rows, "records")
     visit = STEP[:1]
     drawn = repair.with_visit_draws(staged, visit, 1, SEED)
-    counts = repair.bucket_counts(drawn, visit, p.sizes, TWO_IDS, 1)
+    counts = repair.bucket_counts(drawn, visit, p.sizes, IDS, 1)
     wanted = targets.filter(F.col("marginal_id") == TRIPLE.marginal_id)
     return stage(repair.cell_differences(wanted, counts), "differences")
 
@@ -114,7 +117,7 @@ def repair_step(spark, folder):
     """One step that visits three marginals without a common attribute."""
     rows, targets, p, n = _independent(spark, folder)
     staged = stage(rows, "records")
-    return repair.repair_step(staged, targets, STEP, p.sizes, TWO_IDS, n, None, SEED)
+    return repair.repair_step(staged, targets, STEP, p.sizes, IDS, n, None, SEED)
 
 
 def _visit_sql(m, source: str = "sy") -> str:
@@ -129,12 +132,12 @@ de{i} AS MATERIALIZED (SELECT budget_id, cell, (sum(ceil(diff - 0.5)) OVER w - c
   WINDOW w AS (PARTITION BY budget_id ORDER BY diff DESC, cell ROWS UNBOUNDED PRECEDING)),
 su{i} AS MATERIALIZED (SELECT budget_id, cell, (sum(ceil(-diff)) OVER w - ceil(-diff))::BIGINT AS start, ceil(-diff)::BIGINT AS quota
   FROM df{i} WHERE diff < -0.5 WINDOW w AS (PARTITION BY budget_id ORDER BY diff, cell ROWS UNBOUNDED PRECEDING)),
-mv{i} AS MATERIALIZED (SELECT r.budget_id, r.row_id, d.cell AS to_cell FROM (
-    SELECT s.budget_id, row_id, start, quota, row_number() OVER (PARTITION BY s.budget_id, s.cell ORDER BY u, row_id) - 1 AS k
-    FROM (SELECT budget_id, row_id, {O.cell(m.attrs)} AS cell, {u} AS u FROM {source}, dom) s
-    JOIN su{i} ON su{i}.budget_id = s.budget_id AND su{i}.cell = s.cell) r
-  JOIN de{i} d ON d.budget_id = r.budget_id AND start + k >= low AND start + k < high
-  WHERE k < quota AND start + k < {MAX_MOVES})"""
+rk{i} AS MATERIALIZED (SELECT s.budget_id, row_id, quota, start + row_number() OVER (PARTITION BY s.budget_id, s.cell ORDER BY u, row_id) - 1 AS slot,
+  row_number() OVER (PARTITION BY s.budget_id, s.cell ORDER BY u, row_id) - 1 AS k
+  FROM (SELECT budget_id, row_id, {O.cell(m.attrs)} AS cell, {u} AS u FROM {source}, dom) s
+  JOIN su{i} ON su{i}.budget_id = s.budget_id AND su{i}.cell = s.cell),
+mv{i} AS MATERIALIZED (SELECT r.budget_id, r.row_id, d.cell AS to_cell FROM rk{i} r
+  ASOF JOIN de{i} d ON d.budget_id = r.budget_id AND r.slot >= d.low WHERE k < quota AND r.slot < d.high)"""
 
 
 def _step_sql() -> str:
@@ -184,7 +187,7 @@ def tree_cpt(spark, folder):
     )
 
 
-CPT_SQL = TARGETS + "," + ",".join(_cuts_sql(c, p) for c, p in ORDER) + " " + " UNION ALL ".join(
+CPT_SQL = TARGETS + "," + ",".join(_cuts_sql(c, draws.parents_of((c, p))) for c, p in ORDER) + " " + " UNION ALL ".join(
     f"SELECT '{c}' AS attr, budget_id, given, code, round(low, 9) AS low, round(high, 9) AS high FROM cu_{c}"
     for c, _ in ORDER
 )
@@ -192,17 +195,52 @@ CPT_SQL = TARGETS + "," + ",".join(_cuts_sql(c, p) for c, p in ORDER) + " " + "
 
 def tree_sample(spark, folder):
     targets, p, n = _targets(spark, folder)
-    return tree.sample_tree(targets, WORKLOAD, ORDER, COLUMNS, p.sizes, n, TWO_IDS, SEED)
+    return tree.sample_tree(targets, WORKLOAD, ORDER, COLUMNS, p.sizes, n, IDS, SEED)
 
 
-def reweight_synth(spark, folder):
+def tree2_sample(spark, folder):
+    """Records drawn with two parents where a triple was measured."""
+    targets, p, n = _targets(spark, folder)
+    return tree.sample_tree(targets, WORKLOAD, TWO_PARENTS, COLUMNS, p.sizes, n, IDS, SEED)
+
+
+def _reweighted(spark, folder):
     """Log-linear fit on a pool drawn from the tree model, and whole records drawn from it."""
     targets, p, n = _targets(spark, folder)
     pool = stage(
-        tree.sample_tree(targets, WORKLOAD, ORDER, COLUMNS, p.sizes, n, TWO_IDS, SEED), "pool"
+        tree.sample_tree(targets, WORKLOAD, TWO_PARENTS, COLUMNS, p.sizes, n, IDS, SEED), "pool"
     )
-    potentials = reweight.fit_potentials(pool, targets, WORKLOAD, p.sizes, TWO_IDS, rounds=5)
-    return reweight.draw_records(pool, potentials, WORKLOAD, p.sizes, TWO_IDS, n, n, SEED)
+    fit = reweight.fit_potentials(pool, targets, WORKLOAD, p.sizes, IDS, sigmas=SIGMAS)
+    drawn = reweight.draw_records(pool, fit.potentials, WORKLOAD, p.sizes, IDS, n, n, SEED)
+    return drawn, fit, targets, p
+
+
+def reweight_synth(spark, folder):
+    return _reweighted(spark, folder)[0]
+
+
+def reweight_fit(spark, folder):
+    """Per marginal its target's cells, total and bound, and whether the records drawn from the fitted model keep to the bound.
+
+    Whole records instead of weights add up to half a record per cell and square root of its count.
+    """
+    drawn, _, targets, p = _reweighted(spark, folder)
+    counts = reweight.weighted_cells(stage(drawn, "drawn").withColumn("weight", F.lit(1.0)), WORKLOAD, p.sizes, IDS)
+    both = targets.join(counts, ["budget_id", "marginal_id", "cell"], "left")
+    off = F.sum(F.abs(F.coalesce("current", F.lit(0.0)) - F.col("value"))) / (2 * F.sum("value"))
+    most = reweight.residual_bound(F.count(F.lit(1)), F.sum("value"), reweight.RESIDUAL, SIGMAS)
+    rounding = F.sum(F.sqrt("value")) / (2 * F.sum("value"))
+    return both.groupBy("budget_id", "marginal_id").agg(
+        F.count(F.lit(1)).alias("cells"), F.round(F.sum("value"), 4).alias("total"), F.round(most, 9).alias("most"),
+        (off <= most + rounding).alias("within"),
+    )
+
+
+FIT_SQL = TARGETS + f""",
+sg AS (SELECT budget_id, max(sigma) AS sigma FROM ns GROUP BY budget_id)
+SELECT budget_id, marginal_id, count(*) AS cells, round(sum(value), 4) AS total,
+round(greatest({reweight.RESIDUAL}::DOUBLE, any_value(sigma) * count(*) * sqrt(0.5::DOUBLE / pi()) / sum(value)), 9) AS most, true AS within
+FROM fin JOIN sg USING (budget_id) GROUP BY budget_id, marginal_id"""
 
 
 # The published budgets, workload sizes, rounds and passes.
@@ -227,19 +265,21 @@ QUERIES = {
     "repair_slots": (
         repair_slots,
         VISIT + f" SELECT budget_id, {T} AS marginal_id, slot, cell AS to_cell FROM "
-        f"(SELECT *, unnest(range(low, least(high, {MAX_MOVES}))) AS slot FROM de{T})",
+        f"(SELECT *, unnest(range(low, high)) AS slot FROM de{T})",
     ),
     "repair_surpluses": (
         repair_surpluses,
         VISIT + f""" SELECT budget_id, {T} AS marginal_id, cell, start,
-least(quota, least({MAX_MOVES}, (SELECT max(high) FROM de{T} d WHERE d.budget_id = su{T}.budget_id)) - start) AS keep
-FROM su{T} WHERE least({MAX_MOVES}, (SELECT max(high) FROM de{T} d WHERE d.budget_id = su{T}.budget_id)) > start""",
+least(quota, room - start) AS keep FROM su{T} JOIN (SELECT budget_id, max(high) AS room FROM de{T} GROUP BY budget_id) USING (budget_id)
+WHERE room > start""",
     ),
     "repair_step": (repair_step, _step_sql()),
     "tree_edges": (tree_edges, EDGES_SQL),
     "tree_cpt": (tree_cpt, CPT_SQL),
     "tree_sample": (tree_sample, TARGETS + "," + _sample_sql(ORDER, "tree", "sy") + " SELECT * FROM sy"),
+    "tree2_sample": (tree2_sample, TARGETS + "," + _sample_sql(TWO_PARENTS, "tree", "sy") + " SELECT * FROM sy"),
     "reweight_synth": (reweight_synth, None),
+    "reweight_fit": (reweight_fit, FIT_SQL),
     "synthesise_repair": (synthesise_repair, None),
     "synthesise_model": (synthesise_model, None),
 }

@@ -32,6 +32,11 @@ def uniform(key: Column, index: int = 0) -> Column:
     return _slice(F.md5(key), index) / F.lit(RANGE)
 
 
+def gumbel(key: Column) -> Column:
+    """A standard Gumbel number (cryptographic hash of the key)."""
+    return -F.ln(-F.ln((_slice(F.sha2(key, 256), 0) + F.lit(0.5)) / F.lit(RANGE)))
+
+
 def gaussian(key: Column) -> Column:
     """A standard normal number (Box-Muller on a cryptographic hash of the key)."""
     digest = F.sha2(key, 256)

@@ -36,17 +36,21 @@ def measure(
     queries: int,
     seed: str,
     clip: bool = True,
+    spent: float = 0.0,
 ) -> DataFrame:
     """Noisy counts of every cell under every budget, from one table of exact counts.
 
     The budget is part of the noise key: with one draw shared by two budgets, their two releases
-    would give the exact count away. ``clip`` sets negative results to zero.
+    would give the exact count away. ``clip`` sets negative results to zero. ``spent``: what each budget has already paid (rho).
     """
     if queries < 1:
         raise ValueError("at least one marginal has to be measured")
     # A handful of budgets per cell, written out by an explode of a constant list.
     wide = cells.withColumn("b", F.explode(_budget_rows(budgets)))
-    sigma = sigma_column(rho_column(F.col("b.epsilon"), F.col("b.delta")), F.lit(queries))
+    if spent >= min(rho_for(b.epsilon, b.delta) for b in budgets):
+        raise ValueError("nothing is left of the budget")
+    rho = rho_column(F.col("b.epsilon"), F.col("b.delta"))
+    sigma = sigma_column(rho - F.lit(spent) if spent else rho, F.lit(queries))
     key = key_of(seed, "noise", F.col("b.budget_id"), F.col("marginal_id"), F.col("cell"))
     noisy = F.col("n").cast("double") + sigma * gaussian(key)
     return wide.select(
@@ -69,16 +73,15 @@ _USES = (
 
 
 def privacy_ledger(
-    spark: SparkSession, budgets: Sequence[PrivacyBudget], queries: int
+    spark: SparkSession, budgets: Sequence[PrivacyBudget], queries: int, ranked: int = 0, spent: float = 0.0
 ) -> DataFrame:
-    """Every use of the data per budget, and the share of rho charged for it."""
+    """Every use of the data per budget, and the share of rho charged for it; ``ranked`` choices may have been paid with ``spent``."""
     rows = []
     for b in budgets:
         rho = rho_for(b.epsilon, b.delta)
         for use, charged in _USES:
-            rows.append((
-                b.budget_id, b.epsilon, use, charged, queries if charged else 0, rho if charged else 0.0
-            ))
+            paid = (ranked, spent) if use == "column ranking" and spent else (queries, rho - spent) if charged else (0, 0.0)
+            rows.append((b.budget_id, b.epsilon, use, paid[0] > 0, *paid))
     return spark.createDataFrame(
         rows, "budget_id int, epsilon double, used_for string, charged boolean, queries int, rho double"
     )

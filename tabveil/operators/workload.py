@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tabveil.functions.keyed import key_of
 from tabveil.operators.marginals import count_cells
+from tabveil.operators.selection import TRIPLE_WEIGHT, PaidSelection, information_sensitivity, noisy_best
 from tabveil.spec import Marginal
 
 # Scores are compared at this precision, so that rounding noise cannot change a ranking.
@@ -138,19 +139,30 @@ def select_workload(
     extra_pairs: int = 0,
     extra_triples: int = 0,
     seed: str = "0",
+    paid: PaidSelection | None = None,
 ) -> DataFrame:
-    """All 1-way marginals, the strongest pairs and target triples, and random extras."""
+    """All 1-way marginals, the strongest pairs and target triples, and random extras.
+
+    With ``paid`` the strongest ones are chosen by noisy scores and listed without their scores; pairs and triples
+    share its budget by their numbers.
+    """
     spark = information.sparkSession
     no_score = F.lit(None).cast("double").alias("score")
     ranked = lambda df, *order: df.withColumn(
         "ord", F.row_number().over(W.partitionBy().orderBy(*order))
     )
     singles = candidate_sets(spark, columns, 1).select("ord", "attrs", no_score)
-    strong_pairs = ranked(top_pairs(information, pairs), F.desc("score"), "pair_ord")
-    strong_triples = ranked(
-        top_triples(triple_scores(information, columns, target), triples),
-        F.desc("score"), "triple_ord",
-    )
+    if paid is None:
+        strong_pairs = ranked(top_pairs(information, pairs), F.desc("score"), "pair_ord")
+        strong_triples = ranked(
+            top_triples(triple_scores(information, columns, target), triples),
+            F.desc("score"), "triple_ord",
+        )
+    else:
+        strong_pairs, strong_triples = (
+            ranked(df, F.desc("noisy"), order).select("ord", "attrs", no_score)
+            for df, order in zip(paid_sets(information, columns, target, pairs, triples, paid), ("pair_ord", "triple_ord"))
+        )
     parts = [("one", singles), ("pair", strong_pairs), ("triple", strong_triples)]
     if extra_pairs:
         drawn = random_sets(
@@ -165,6 +177,20 @@ def select_workload(
     return concatenate(parts)
 
 
+def paid_sets(
+    information: DataFrame, columns: Sequence[str], target: str, pairs: int, triples: int, paid: PaidSelection
+) -> tuple[DataFrame, DataFrame]:
+    """Pairs and target triples with the largest noisy scores; ``noisy`` must not leave the job."""
+    change = information_sensitivity(paid.rows)
+    each = paid.rho / (pairs + triples)
+    scored = information.select("pair_ord", F.array("a", "b").alias("attrs"), F.col("mi").alias("score"))
+    of_triples = triple_scores(information, columns, target)
+    return (
+        noisy_best(scored, "score", "pair_ord", pairs, each * pairs, change, paid.seed, "pairs"),
+        noisy_best(of_triples, "score", "triple_ord", triples, each * triples, TRIPLE_WEIGHT * change, paid.seed, "triples"),
+    )
+
+
 def as_marginals(workload: DataFrame) -> list[Marginal]:
     """The workload as metadata: at most a few hundred entries."""
     rows = workload.orderBy("marginal_id").collect()

@@ -88,8 +88,12 @@ class SynthesisSettings:
     repair_passes: int = 6
     max_moves: int | None = None
     n_records: int = 0
-    fit_rounds: int = 20
+    # The model's fit ends when no marginal is further from its target (a share of the records), or after so many rounds.
+    fit_bound: float = 0.02
+    fit_rounds: int = 500
     step_size: float = 1.0
+    # This share of the smallest budget pays for the ranking of columns; 0 leaves it unpaid, as the ledger then says.
+    selection_share: float = 0.0
     seed: str = field(default_factory=lambda: secrets.token_hex(16))
 
     @property

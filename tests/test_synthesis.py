@@ -5,10 +5,12 @@ from itertools import product
 
 import numpy as np
 import pytest
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tabveil.catalog import synthesis
-from tabveil.operators import draws, ranks, repair, reweight, tree
+from tabveil.functions.keyed import key_of, uniform
+from tabveil.operators import draws, ranks, repair, repair_blocks, reweight, tree
 from tabveil.operators.marginals import count_cells
 from tabveil.session import stage
 from tabveil.spec import Marginal
@@ -104,13 +106,14 @@ def _greedy(rows, target, attrs, order, limit):
 
 @pytest.mark.parametrize("limit", [2000, 37])
 def test_repair_step_equals_moving_one_by_one(spark, targets, limit, monkeypatch):
-    monkeypatch.setattr(repair, "ROWS_PER_BUCKET", 300)
+    monkeypatch.setattr(repair, "ROWS_PER_BLOCK", 300)
     start = stage(draws.sample_independent(targets, ALL, COLUMNS, SIZES, N, [0], "s"), "start")
     step = [repair.Visit(0, ALL[5])]
     got = repair.repair_step(start, targets, step, SIZES, [0], N, limit, "s")
     got = {r["row_id"]: tuple(r[c] for c in COLUMNS) for r in got.collect()}
-    drawn = repair.with_visit_draws(start, step, 1, "s").collect()
-    order = [r["row_id"] for r in sorted(drawn, key=lambda r: (r["_u_5"], r["row_id"]))]
+    drawn = repair.with_visit_draws(start, step, repair.blocks_for(N), "s").collect()
+    assert len({r["_bucket_5"] for r in drawn}) == 7
+    order = [r["row_id"] for r in sorted(drawn, key=lambda r: (r["_bucket_5"], r["_u_5"], r["row_id"]))]
     rows = {r["row_id"]: {c: r[c] for c in COLUMNS} for r in drawn}
     target = [
         r["value"] for r in targets.filter("marginal_id = 5").orderBy("cell").collect()
@@ -130,7 +133,7 @@ def test_registered_repair_moves_all_records(spark, monkeypatch):
     monkeypatch.setattr(synthesis, "_independent", lambda spark, folder: (start, goals, prepared, n))
     monkeypatch.setattr(synthesis, "STEP", [repair.Visit(0, m)])
     monkeypatch.setattr(synthesis, "TRIPLE", m)
-    monkeypatch.setattr(synthesis, "TWO_IDS", [0])
+    monkeypatch.setattr(synthesis, "IDS", [0])
     assert synthesis.QUERIES["repair_slots"][0](spark, "").count() == 5000
     assert [r["keep"] for r in synthesis.QUERIES["repair_surpluses"][0](spark, "").collect()] == [5000]
     got = {r["row_id"]: tuple(r[c] for c in COLUMNS) for r in synthesis.QUERIES["repair_step"][0](spark, "").collect()}
@@ -176,9 +179,75 @@ def test_repair_loop_improves_all_marginals(targets):
     assert error(done) < 0.5 * error(start)
 
 
+@pytest.fixture(scope="module")
+def two_budgets(targets):
+    other = targets.withColumn("budget_id", F.lit(3)).withColumn("value", F.col("value") * 0.5 + 40)
+    return stage(targets.unionByName(other), "targets")
+
+
+@pytest.mark.parametrize("size, max_moves", [(10**6, None), (700, None), (300, 37)])
+def test_passes_by_blocks_equal_steps_from_storage(two_budgets, monkeypatch, size, max_moves):
+    for module in (repair, repair_blocks):
+        monkeypatch.setattr(module, "ROWS_PER_BLOCK", size)
+    start = stage(draws.sample_independent(two_budgets, ALL, COLUMNS, SIZES, N, [0, 3], "s"), "start")
+    want = repair.repair(start, two_budgets, ALL, SIZES, [0, 3], N, passes=2, max_moves=max_moves, seed="s")
+    got = repair_blocks.repair_records(start, two_budgets, ALL, SIZES, [0, 3], N, passes=2, max_moves=max_moves, seed="s")
+    assert got.columns == want.columns and got.count() == 2 * N
+    assert got.exceptAll(want).isEmpty()
+    assert not got.exceptAll(start).isEmpty()
+
+
+def test_draws_in_tasks_equal_those_in_columns(spark):
+    rows = spark.range(500).select("id", uniform(key_of("s", "move", 2, 7, F.lit(3), F.col("id"))).alias("u")).collect()
+    got = repair_blocks.uniforms("s|move|2|7|3", np.array([r["id"] for r in rows]))
+    assert got.tolist() == [r["u"] for r in rows]
+
+
+def test_two_parents_follow_a_triple(two_budgets, joint):
+    order = tree.two_parent_order({("a", "t"): 0.5, ("b", "t"): 0.2, ("a", "b"): 0.1}, [m.attrs for m in ALL], COLUMNS, "t")
+    assert order == [("t", None), ("a", "t"), ("b", ("t", "a"))]
+    one = stage(tree.sample_tree(two_budgets, ALL, ORDER, COLUMNS, SIZES, 20 * N, [0], "s"), "one")
+    two = stage(tree.sample_tree(two_budgets, ALL, order, COLUMNS, SIZES, 20 * N, [0], "s"), "two")
+    goal = joint / joint.sum()
+
+    def distance(df):
+        have = _counts(df)
+        return sum(abs(have[c] / (20 * N) - goal[c]) for c in product(*[range(SIZES[x]) for x in COLUMNS]))
+
+    assert distance(two) < 0.05 < distance(one)
+    by_join = draws.draw_rows(
+        draws.intervals(draws.conditional_masses(two_budgets, ALL, order, SIZES)), order, SIZES, N, [0, 3], "s", "tree", array_ends=0
+    )
+    by_array = tree.sample_tree(two_budgets, ALL, order, COLUMNS, SIZES, N, [0, 3], "s")
+    assert by_join.select(*by_array.columns).exceptAll(by_array).isEmpty() and by_join.count() == 2 * N
+    # A pair of codes that has no mass takes the first parent's table, and that the column's own.
+    bare = two_budgets.withColumn("value", F.when((F.col("marginal_id") == 5) & (F.col("cell") < 8), 0.0).otherwise(F.col("value")))
+    masses = draws.conditional_masses(bare, ALL, order, SIZES).filter("attr = 'b' and budget_id = 0 and given = 3").orderBy("code")
+    pair = bare.filter("marginal_id = 4 and budget_id = 0 and cell % 2 = 1").orderBy("cell")
+    assert [r["value"] for r in masses.collect()] == [r["value"] for r in pair.collect()]
+
+
+def test_fit_ends_within_its_bound_or_says_why(two_budgets):
+    pool = stage(tree.sample_tree(two_budgets, ALL, ORDER, COLUMNS, SIZES, 4 * N, [0, 3], "s"), "pool")
+    fit = reweight.fit_potentials(pool, two_budgets.filter("budget_id = 0"), ALL, SIZES, [0], bound=0.005)
+    assert fit.ends[0][0] <= 1 and fit.ends[0][2] == "bound"
+    assert fit.residuals.agg(F.max("residual")).first()[0] <= 0.005
+    weighted = reweight.with_log_weight(pool.filter("budget_id = 0"), fit.potentials, ALL, SIZES, 1).withColumn("weight", F.exp("log_weight"))
+    cells = reweight.weighted_cells(weighted, ALL, SIZES, [0]).withColumn("share", F.col("current") / F.sum("current").over(W.partitionBy("marginal_id")))
+    off = cells.join(two_budgets.filter("budget_id = 0"), ["marginal_id", "cell"]).groupBy("marginal_id").agg(
+        (F.sum(F.abs(F.col("share") - F.col("value") / N)) / 2).alias("off")
+    )
+    assert off.agg(F.max("off")).first()[0] <= 0.0051
+    # Targets that contradict each other cannot be met; noise of that size makes the bound wider.
+    wrong = two_budgets.filter("budget_id = 0").withColumn("value", F.when(F.col("marginal_id") == 0, F.lit(N / 3.0)).otherwise(F.col("value")))
+    left = reweight.fit_potentials(pool, wrong, ALL, SIZES, [0], bound=0.001)
+    assert left.ends[0][0] > 1 and left.ends[0][2] == "no step makes it smaller"
+    assert reweight.fit_potentials(pool, wrong, ALL, SIZES, [0], bound=0.001, sigmas={0: 500.0}).ends[0][2] == "bound"
+
+
 def test_reweighting_fits_what_a_tree_cannot(targets):
     pool = stage(tree.sample_tree(targets, ALL, ORDER, COLUMNS, SIZES, 4 * N, [0], "s"), "pool")
-    potentials = reweight.fit_potentials(pool, targets, ALL, SIZES, [0], rounds=8, step_size=2.0)
+    potentials = reweight.fit_potentials(pool, targets, ALL, SIZES, [0], most_rounds=8, step_size=2.0).potentials
     by_array = reweight.with_log_weight(pool, potentials, ALL, SIZES, 1)
     by_join = reweight.with_log_weight(pool, potentials, ALL, SIZES, 1, array_potentials=0)
     gap = by_array.join(by_join.withColumnRenamed("log_weight", "other"), "row_id").agg(
