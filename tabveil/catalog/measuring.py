@@ -25,7 +25,6 @@ SMALL = [
         ("l_quantity", "l_discount", "target"), ("n_name", "r_name", "target"),
     ]
 ]
-TWO = BUDGETS[1:3]
 K = len(WORKLOAD)
 
 
@@ -58,7 +57,7 @@ def marginals_exploded(spark, folder):
 
 def marginals_grouping_sets(spark, folder):
     p = prepared(spark, folder)
-    return marginals.grouping_set_counts(p.coded, SMALL, p.sizes)
+    return marginals.grouping_set_counts(p.coded, WORKLOAD, p.sizes)
 
 
 def marginal_projection(spark, folder):
@@ -286,11 +285,11 @@ SELECT budget_id, epsilon, used_for, queries > 0 AS charged, queries,
 round(CASE us.kind WHEN 0 THEN 0 WHEN 1 THEN {_SPENT} ELSE {O.RHO} - {_SPENT} END, 9) AS rho FROM bu, us WHERE budget_id >= 2"""
 
 
-def _cells_in(spark, folder, budgets=TWO):
+def _cells_in(spark, folder):
     p = prepared(spark, folder)
     coded = stage(p.coded, "coded")
-    cells = marginals.dense_cells(coded, SMALL, p.sizes)
-    noisy = noise.measure(cells, budgets, len(SMALL), SEED)
+    cells = marginals.dense_cells(coded, WORKLOAD, p.sizes)
+    noisy = noise.measure(cells, BUDGETS, K, SEED)
     total = float(coded.count())
     return noisy.select("budget_id", "marginal_id", "cell", F.col("noisy").alias("value")), p, total
 
@@ -299,7 +298,7 @@ def _rounded(df):
     return df.withColumn("value", F.round("value", 6)).select("budget_id", "marginal_id", "cell", "value")
 
 
-MEASURED_SMALL = O.measured(SMALL, where="budget_id IN (1, 2)")
+MEASURED = O.measured(WORKLOAD)
 ROUNDED = "SELECT budget_id, marginal_id, cell, round(value, 6) AS value FROM "
 
 
@@ -309,19 +308,19 @@ def normalise_marginals(spark, folder):
 
 
 NORMAL_SQL = (
-    MEASURED_SMALL + ",\nr0 AS (SELECT budget_id, marginal_id, cell, noisy AS value FROM ns),"
+    MEASURED + ",\nr0 AS (SELECT budget_id, marginal_id, cell, noisy AS value FROM ns),"
     + O.normalised("r0", "fin", "(SELECT count(*) FROM cd)::DOUBLE") + ROUNDED + "fin"
 )
 
 
 def consistency_round(spark, folder):
     cells, p, total = _cells_in(spark, folder)
-    return _rounded(consistency.pull_together(consistency.normalise(cells, total), SMALL, p.sizes))
+    return _rounded(consistency.pull_together(consistency.normalise(cells, total), WORKLOAD, p.sizes))
 
 
 ROUND_SQL = (
-    MEASURED_SMALL + ",\nr0 AS (SELECT budget_id, marginal_id, cell, noisy AS value FROM ns),"
-    + O.normalised("r0", "n1", "(SELECT count(*) FROM cd)::DOUBLE") + "," + O.pulled("n1", "r1", SMALL)
+    MEASURED + ",\nr0 AS (SELECT budget_id, marginal_id, cell, noisy AS value FROM ns),"
+    + O.normalised("r0", "n1", "(SELECT count(*) FROM cd)::DOUBLE") + "," + O.pulled("n1", "r1", WORKLOAD)
     + ROUNDED + "r1"
 )
 
@@ -329,7 +328,7 @@ ROUND_SQL = (
 def _rounds(rounds):
     def run(spark, folder):
         cells, p, total = _cells_in(spark, folder)
-        return _rounded(consistency.make_consistent(cells, SMALL, p.sizes, total, rounds))
+        return _rounded(consistency.make_consistent(cells, WORKLOAD, p.sizes, total, rounds))
     return run
 
 
@@ -384,7 +383,7 @@ QUERIES = {
         marginals_exploded, ",".join([O.base(), O.counts(WORKLOAD)]) + " SELECT * FROM ct",
     ),
     "marginals_grouping_sets": (
-        marginals_grouping_sets, ",".join([O.base(), O.counts(SMALL)]) + " SELECT * FROM ct",
+        marginals_grouping_sets, ",".join([O.base(), O.counts(WORKLOAD)]) + " SELECT * FROM ct",
     ),
     "marginal_projection": (
         marginal_projection,
@@ -431,6 +430,6 @@ ON cd.l_quantity = g.l_quantity AND cd.l_discount = g.l_discount AND cd.target =
     "number_in_text": (number_in_text, NUMBER_SQL),
     "normalise_marginals": (normalise_marginals, NORMAL_SQL),
     "consistency_round": (consistency_round, ROUND_SQL),
-    "consistency_2rounds": (_rounds(2), MEASURED_SMALL + "," + O.consistent(SMALL, 2) + ROUNDED + "fin"),
-    "consistency_8rounds": (_rounds(8), MEASURED_SMALL + "," + O.consistent(SMALL, 8) + ROUNDED + "fin"),
+    "consistency_2rounds": (_rounds(2), MEASURED + "," + O.consistent(WORKLOAD, 2) + ROUNDED + "fin"),
+    "consistency_8rounds": (_rounds(8), MEASURED + "," + O.consistent(WORKLOAD, 8) + ROUNDED + "fin"),
 }

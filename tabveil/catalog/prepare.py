@@ -3,18 +3,21 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabveil.catalog import oracle as O
 from tabveil.catalog.tables import (
-    CATEGORICAL, COLUMNS, MICRODATA, NUMERIC, SEED, keyed_microdata, microdata, prepared,
+    CATEGORICAL, COLUMNS, EPSILONS, MICRODATA, NUMERIC, SEED, WORKLOAD, keyed_microdata, microdata, prepared,
 )
 from tabveil.functions.keyed import key_of, uniform
 from tabveil.operators import clean, codebook, features, split
 from tabveil.session import scratch_folder, stage
-from tabveil.sources.tables import named, read_fact, read_microdata_csv, read_table
+from tabveil.sources.tables import (
+    named, read_fact, read_microdata_csv, read_table, write_by_budget, write_coded, write_metrics, write_run_record,
+)
 from tabveil.spec import MicrodataSpec
 
 PART = MicrodataSpec(
@@ -318,7 +321,51 @@ DRAWS_SQL = f"""SELECT o_orderkey, round({O.uniform(O.key(f"'{SEED}'", "'stream'
 round({O.uniform(O.key(f"'{SEED}'", "'stream'", "o_orderkey"), 1)}, 9) AS u1 FROM orders"""
 
 
+def sinks(spark, folder):
+    """What each writer wrote, as its files say: coded tables in two formats, tables by budget, metrics, the run record."""
+    base = f"{scratch_folder(spark)}/tabveil/sinks-{uuid.uuid4().hex}"
+    p = prepared(spark, folder)
+    coded = stage(p.coded, "coded")
+    write_coded(coded, f"{base}/parquet")
+    write_coded(coded, f"{base}/csv", "csv")
+    kinds = ", ".join(f"{c} int" for c in coded.columns)
+    total = sum((F.col(c) for c in COLUMNS), F.lit(0)).cast("long")
+    parts = [
+        df.groupBy(F.lit(sink).alias("sink"), F.col("target").cast("string").alias("part")).agg(
+            F.count(F.lit(1)).alias("n"), F.sum(total).alias("total")
+        ) for sink, df in (
+            ("coded parquet", spark.read.parquet(f"{base}/parquet")),
+            ("coded csv", spark.read.schema(kinds).option("header", True).csv(f"{base}/csv")),
+        )
+    ]
+    by_budget = coded.withColumn("epsilon", F.element_at(F.array(*[F.lit(e) for e in EPSILONS]), F.col("l_quantity") % len(EPSILONS) + 1))
+    write_by_budget(by_budget, f"{base}/budgets")
+    parts.append(spark.read.parquet(f"{base}/budgets").groupBy(
+        F.lit("by budget").alias("sink"), F.col("epsilon").cast("string").alias("part")
+    ).agg(F.count(F.lit(1)).alias("n"), F.sum(total).alias("total")))
+    write_metrics(coded.groupBy("r_name").agg(F.count(F.lit(1)).alias("rows"), F.sum("l_tax").alias("tax")), f"{base}/metrics")
+    metrics = spark.read.schema("r_name string, rows long, tax long").option("header", True).csv(f"{base}/metrics")
+    parts.append(metrics.select(F.lit("metrics").alias("sink"), F.col("r_name").alias("part"), F.col("rows").alias("n"), F.col("tax").alias("total")))
+    write_run_record(spark, f"{base}/run", workload=[m.attrs for m in WORKLOAD], epsilons=EPSILONS, n_bins=8, rows=coded.count())
+    record = spark.read.json(f"{base}/run")
+    parts.append(record.select(
+        F.lit("run record").alias("sink"), F.element_at(F.element_at("workload", -1), -1).alias("part"),
+        F.size("workload").cast("long").alias("n"), F.col("rows").alias("total"),
+    ))
+    return reduce(DataFrame.unionByName, parts)
+
+
+_CODES = " + ".join(COLUMNS)
+SINKS_SQL = O.base() + "".join(
+    f" {'UNION ALL' if i else ''} SELECT '{sink}' AS sink, target::VARCHAR AS part, count(*) AS n, sum({_CODES})::BIGINT AS total FROM cd GROUP BY target"
+    for i, sink in enumerate(("coded parquet", "coded csv"))
+) + f""" UNION ALL SELECT 'by budget', list_extract({list(EPSILONS)}::DOUBLE[], l_quantity % {len(EPSILONS)} + 1)::VARCHAR, count(*), sum({_CODES})::BIGINT FROM cd GROUP BY ALL
+UNION ALL SELECT 'metrics', r_name::VARCHAR, count(*), sum(l_tax)::BIGINT FROM cd GROUP BY ALL
+UNION ALL SELECT 'run record', '{WORKLOAD[-1].attrs[-1]}', {len(WORKLOAD)}, count(*) FROM cd"""
+
+
 QUERIES = {
+    "sinks": (sinks, SINKS_SQL),
     "clean_strip_missing": (clean_strip_missing, CLEAN_SQL),
     "label_normalise": (label_normalise, LABEL_SQL),
     "target_flag": (target_flag, TARGET_SQL),

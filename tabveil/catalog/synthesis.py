@@ -239,7 +239,7 @@ def reweight_fit(spark, folder):
 FIT_SQL = TARGETS + f""",
 sg AS (SELECT budget_id, max(sigma) AS sigma FROM ns GROUP BY budget_id)
 SELECT budget_id, marginal_id, count(*) AS cells, round(sum(value), 4) AS total,
-round(greatest({reweight.RESIDUAL}::DOUBLE, any_value(sigma) * count(*) * sqrt(0.5::DOUBLE / pi()) / sum(value)), 9) AS most, true AS within
+round(greatest({reweight.RESIDUAL}::DOUBLE, {reweight.NOISE_FACTOR}::DOUBLE * any_value(sigma) * count(*) * sqrt(0.5::DOUBLE / pi()) / sum(value)), 9) AS most, true AS within
 FROM fin JOIN sg USING (budget_id) GROUP BY budget_id, marginal_id"""
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tabveil.catalog import oracle as O
 from tabveil.catalog.synthesis import REPAIR
-from tabveil.catalog.tables import MICRODATA, NUMERIC, SEED, keyed_microdata, microdata
+from tabveil.catalog.tables import MICRODATA, NUMERIC, SEED, microdata
 from tabveil.operators import clean, features, metrics, training
 from tabveil.plans import utility as utility_plan
 from tabveil.plans.common import prepare
@@ -122,9 +122,9 @@ FROM (SELECT {_confusion("(score >= 0.5)::INTEGER")} FROM sc)"""
 
 
 def _standard_rows(spark, folder):
-    rows = stage(clean.target_flag(keyed_microdata(spark, folder), MICRODATA), "microdata")
+    rows = stage(clean.target_flag(microdata(spark, folder), MICRODATA), "microdata")
     scaled = features.standardised(rows, features.fit_scaling(rows, NUMERIC))
-    return scaled.select("row_key", "label", *NUMERIC)
+    return scaled.select("label", *NUMERIC)
 
 
 def clipped_gradient_step(spark, folder):

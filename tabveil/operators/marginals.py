@@ -73,7 +73,7 @@ def _array_counts(coded, marginals, sizes, weight) -> DataFrame:
          [(attrs.index(a), s) for a, s in zip(m.attrs, strides(m.attrs, sizes))])
         for m in marginals
     ]
-    columns = [_checked(a, sizes[a]).alias(a) for a in attrs]
+    columns = [F.col(a).cast("long").alias(a) for a in attrs]
     if weight:
         columns.append(F.col(weight).cast("double").alias("_weight"))
 
@@ -81,7 +81,11 @@ def _array_counts(coded, marginals, sizes, weight) -> DataFrame:
         totals = [np.zeros(size) for _, size, _ in plans]
         seen = [np.zeros(size, dtype=bool) for _, size, _ in plans] if weight else None
         for batch in batches:
-            codes = [batch.column(i).to_numpy() for i in range(len(attrs))]
+            codes = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(len(attrs))]
+            for i, (attr, code) in enumerate(zip(attrs, codes)):
+                # As ``_checked``, once for a batch.
+                if batch.column(i).null_count or (len(code) and (code.min() < 0 or code.max() >= sizes[attr])):
+                    raise ValueError(f"a code of {attr} is missing or not in 0 .. {sizes[attr] - 1}")
             w = batch.column(len(attrs)).to_numpy() if weight else None
             for i, (_, size, terms) in enumerate(plans):
                 cell = sum(codes[a] * s for a, s in terms)

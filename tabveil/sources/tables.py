@@ -32,8 +32,12 @@ def read_microdata_csv(
     """Scan a CSV file or folder with a declared schema.
 
     Numbers are parsed after reading, so that the missing marker in a numeric column becomes null
-    instead of failing the parse. A row with a wrong number of fields fails the read.
+    instead of failing the parse. The first line has to have as many fields as the table has columns; any other line with
+    a wrong number fails the read.
     """
+    width = csv_width(spark, path)
+    if width != len(spec.columns):
+        raise ValueError(f"expected {len(spec.columns)} columns, found {width} in {path}")
     text = T.StructType([T.StructField(c, T.StringType()) for c in spec.columns])
     raw = (
         spark.read.schema(text)
