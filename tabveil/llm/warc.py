@@ -21,6 +21,7 @@ import hashlib
 import re
 import uuid
 from collections.abc import Iterator
+from urllib.parse import quote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -32,7 +33,10 @@ from tabveil.llm.token_frames import open_folder
 MAGIC = b"WARC/1.1\r\n"
 FILE_BYTES = 256 << 20
 BLOCK_BYTES = 16 << 20
+BATCH_RECORDS = 1000
 ID = "urn:page:"
+VISIBLE = "".join(map(chr, range(33, 127)))
+ORIGINAL = "X-Original-URI"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 MANIFEST = "path string, n_bytes long, n_records long"
 
@@ -51,9 +55,12 @@ def record(key: int | None, url: str, payload: bytes, refers_to: int | None, dat
     revisit = refers_to is not None
     body = head if revisit else head + payload
     name = f"{ID}{key}" if key is not None else f"urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, sha1_base32(payload))}"
+    address = quote(url, safe=VISIBLE)
     fields = [
         f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: <{name}>",
-        f"WARC-Target-URI: {re.sub('[^!-~]', '', url)}", f"WARC-Date: {date}",
+        f"WARC-Target-URI: {address}", f"WARC-Date: {date}",
+        # Percent signs that were there before can't be told from new ones, so a changed address is kept as it was, too.
+        *([f"{ORIGINAL}: {base64.b64encode(url.encode()).decode()}"] if address != url else []),
         f"WARC-Payload-Digest: sha1:{sha1_base32(payload)}",
         *([f"WARC-Refers-To: <{ID}{refers_to}>", f"WARC-Profile: {PROFILE}"] if revisit else []),
         "Content-Type: application/http; msgtype=response", f"Content-Length: {len(body)}",
@@ -215,10 +222,19 @@ def number(name: str | None) -> int | None:
     return int(found[1]) if found else None
 
 
+def address_of(fields: dict[str, str]) -> str:
+    kept = fields.get(ORIGINAL)
+    return base64.b64decode(kept).decode() if kept is not None else fields["WARC-Target-URI"]
+
+
 def read_archives(manifest: DataFrame, block: int = BLOCK_BYTES, payloads: bool = True) -> DataFrame:
     """All records, those of revisits without payload; a payload that doesn't match its digest is an error."""
 
+    names = [f.split()[0] for f in RECORD.split(", ")]
+    kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.binary()]
+
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for batch in batches:
             for row in batch.to_pylist():
                 base, name = row["path"].rsplit("/", 1)
@@ -235,15 +251,17 @@ def read_archives(manifest: DataFrame, block: int = BLOCK_BYTES, payloads: bool
                         digest = fields["WARC-Payload-Digest"].removeprefix("sha1:")
                         if not revisit and (len(data) != declared or sha1_base32(data) != digest):
                             raise ValueError(f"record at {at} of {row['path']} is damaged")
-                        yield pa.RecordBatch.from_pydict({
-                            "key": pa.array([number(fields["WARC-Record-ID"])], pa.int64()),
-                            "record_type": [fields["WARC-Type"]], "payload_bytes": pa.array([declared], pa.int64()),
-                            "payload_digest": [digest],
-                            "refers_to": pa.array([number(fields.get("WARC-Refers-To"))], pa.int64()),
-                            "url": [fields["WARC-Target-URI"]],
-                            "payload": pa.array([data if payloads and not revisit else None], pa.binary()),
-                        })
+                        held.append((
+                            number(fields["WARC-Record-ID"]), fields["WARC-Type"], declared, digest, number(fields.get("WARC-Refers-To")),
+                            address_of(fields), data if payloads and not revisit else None,
+                        ))
+                        size += length if payloads else 0
                         at = body_at + length + 4
+                        if len(held) == BATCH_RECORDS or size > BLOCK_BYTES:
+                            yield pa.RecordBatch.from_arrays(list(map(pa.array, zip(*held), kinds)), names)
+                            held, size = [], 0
+        if held:
+            yield pa.RecordBatch.from_arrays(list(map(pa.array, zip(*held), kinds)), names)
 
     entries = spread(reachable_entries(manifest, block))
     return entries.select("path", "n_bytes", "begin", "entry").mapInArrow(parse, RECORD)

@@ -281,6 +281,15 @@ def test_archives_reject_magic_in_payloads(spark):
     assert warc.read_archives(warc.write_archives(pages.limit(0), shared_folder())).count() == 0
 
 
+def test_addresses_come_back_as_they_were(spark):
+    urls = ["http://ex.org/a%20b?q=1", "http://ex.org/straße a?q=é", "http://ex.org/stra%C3%9Fe%20a?q=%C3%A9", "", None, "x\r\nWARC-Type: y", " ", "😀" * 5000]
+    pages = spark.createDataFrame([(i, u, f"body {i // 2}") for i, u in enumerate(urls)], "page_id long, url string, html string")
+    got = warc.read_archives(warc.write_archives(pages, shared_folder())).collect()
+    assert {r["key"]: r["url"] for r in got} == {i: u or "" for i, u in enumerate(urls)}
+    head = warc.record(1, urls[1], b"", None, "d").split(b"\r\n\r\n")[0]
+    assert b"WARC-Target-URI: http://ex.org/stra%C3%9Fe%20a?q=%C3%A9\r\n" in head
+
+
 def test_ledger_scans_only_what_is_new(spark, odd):
     ledger = f"{shared_folder()}/ledger"
     first = spark.createDataFrame(
