@@ -24,23 +24,19 @@ from tabveil.llm.common import content, let, small_side
 SPELLINGS = (
     ("acknowledgement", "acknowledgment"), ("analogue", "analog"), ("analyse", "analyze"),
     ("artefact", "artifact"), ("authorisation", "authorization"), ("authorised", "authorized"),
-    ("cancelled", "canceled"), ("centre", "center"), ("favour", "favor"), ("fulfil", "fulfill"),
+    ("calibre", "caliber"), ("cancelled", "canceled"), ("capitalisations", "capitalizations"),
+    ("catalogue", "catalog"), ("categorise", "categorize"), ("centre", "center"),
+    ("copyright owner", "copyright holder"), ("emphasised", "emphasized"), ("favour", "favor"),
+    ("favourite", "favorite"), ("fulfil", "fulfill"),
     ("fulfilment", "fulfillment"), ("initialise", "initialize"), ("judgement", "judgment"),
     ("labelling", "labeling"), ("labour", "labor"), ("licence", "license"), ("licences", "licenses"),
-    ("licenced", "licensed"), ("modelled", "modeled"), ("noncommercial", "non commercial"),
+    ("licenced", "licensed"), ("maximise", "maximize"), ("modelled", "modeled"), ("modelling", "modeling"),
+    ("noncommercial", "non commercial"), ("offence", "offense"), ("optimise", "optimize"),
     ("organisation", "organization"), ("organise", "organize"),
     ("practise", "practice"), ("programme", "program"), ("realise", "realize"),
     ("recognise", "recognize"), ("signalling", "signaling"), ("sublicence", "sublicense"),
     ("sub license", "sublicense"), ("utilisation", "utilization"), ("whilst", "while"),
-    ("wilful", "willful"), ("per cent", "percent"), ("https", "http"),
-)
-
-# The rest of the public list's pairs. The query's SQL has those above only.
-MORE_SPELLINGS = (
-    ("calibre", "caliber"), ("capitalisations", "capitalizations"), ("catalogue", "catalog"),
-    ("categorise", "categorize"), ("copyright owner", "copyright holder"), ("emphasised", "emphasized"),
-    ("favourite", "favorite"), ("maximise", "maximize"), ("modelling", "modeling"), ("offence", "offense"),
-    ("optimise", "optimize"), ("wilfull", "willful"),
+    ("wilful", "willful"), ("wilfull", "willful"), ("per cent", "percent"), ("https", "http"),
 )
 
 # Known licences and notices, by SPDX name.
@@ -113,7 +109,7 @@ def published_texts() -> tuple:
 
 def canonical(text: Column) -> Column:
     """The canonical form; each spelling is replaced only where it occurs at all."""
-    pairs = F.array(*[F.struct(F.lit(one).alias("one"), F.lit(other).alias("other")) for one, other in SPELLINGS + MORE_SPELLINGS])
+    pairs = F.array(*[F.struct(F.lit(one).alias("one"), F.lit(other).alias("other")) for one, other in SPELLINGS])
 
     def without_owner(lower: Column) -> Column:
         return F.when(

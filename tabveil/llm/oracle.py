@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tabveil.llm.license_scan import KNOWN, SPELLINGS
+from tabveil.llm.license_scan import KNOWN, SPELLINGS, published_texts
 from tabveil.llm.quality_rules import CUTOFFS, ERROR, RISK
 
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -84,7 +84,7 @@ def _canonical(column: str) -> str:
     return f"({made})"
 
 
-_KNOWN = ", ".join("('{}', '{}')".format(n, t.replace("'", "''")) for n, t in KNOWN)
+_KNOWN = ", ".join("('{}', '{}')".format(n, t.replace("'", "''")) for n, t in KNOWN + published_texts())
 LICENCES = f"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
 k AS (SELECT c, min(n) AS n FROM (SELECT n, {_canonical("t")} AS c FROM (VALUES {_KNOWN}) AS v(n, t)) WHERE c <> '' GROUP BY c),
