@@ -11,7 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tabveil.operators.marginals import projected_cell, projection_table
-from tabveil.session import lookup_side, stage
+from tabveil.session import Journal, fingerprint, lookup_side, stage
 from tabveil.spec import Marginal
 
 # Rounds between two writes of the cell table; keeps plans short.
@@ -77,12 +77,21 @@ def pull_together(cells: DataFrame, marginals: Sequence[Marginal], sizes, value:
 
 
 def make_consistent(
-    noisy: DataFrame, marginals: Sequence[Marginal], sizes, total, rounds: int = 8
+    noisy: DataFrame, marginals: Sequence[Marginal], sizes, total, rounds: int = 8, journal: str | None = None
 ) -> DataFrame:
-    """``rounds`` rounds of normalising and pulling together; ``noisy`` has a column ``value``."""
+    """``rounds`` rounds of normalising and pulling together; ``noisy`` has a column ``value``.
+
+    With a ``journal`` folder a run that was stopped goes on after the last rounds it wrote there.
+    """
     cells = noisy.select("budget_id", "marginal_id", "cell", "value")
-    for done in range(1, rounds + 1):
+    begin, book = 0, None
+    if journal:
+        tables = [(m.marginal_id, m.attrs) for m in marginals]
+        book = Journal(noisy.sparkSession, journal, "consistency", tables, sorted(sizes.items()), total, fingerprint(cells))
+        if found := book.last(rounds - 1, cells.schema):
+            begin, cells = found
+    for done in range(begin + 1, rounds + 1):
         cells = pull_together(normalise(cells, total), marginals, sizes)
         if done % ROUNDS_PER_STAGE == 0 and done < rounds:
-            cells = stage(cells, "cells")
+            cells = book.write(cells, done) if book else stage(cells, "cells")
     return normalise(cells, total)

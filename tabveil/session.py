@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 import tempfile
 import uuid
@@ -54,6 +55,44 @@ def drop_staged(spark: SparkSession, path: str) -> None:
     files.delete(target, True)
 
 
+def fingerprint(df: DataFrame) -> str:
+    """Rows and the sum of their hashes: the same for the same rows in any order."""
+    total = F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)"))
+    return ":".join(map(str, df.agg(F.count(F.lit(1)), total).first()))
+
+
+class Journal:
+    """The finished rounds of a loop in a shared folder, from which a stopped job goes on.
+
+    The place depends on what the loop is run with, so other settings or another input begin anew. A round counts once its write
+    has been committed; the round before is removed then.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, loop: str, *run_with) -> None:
+        key = hashlib.sha256("|".join(map(str, run_with)).encode()).hexdigest()[:32]
+        self.spark, self.base = spark, f"{folder.rstrip('/')}/tabveil/{loop}-{key}"
+
+    def _path(self, number: int) -> str:
+        return f"{self.base}/round-{number}"
+
+    def _exists(self, path: str) -> bool:
+        target = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        return target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+    def last(self, rounds: int, schema) -> tuple[int, DataFrame] | None:
+        """The number and table of the last finished one of ``rounds`` rounds."""
+        for number in range(rounds, 0, -1):
+            if self._exists(f"{self._path(number)}/_SUCCESS"):
+                return number, self.spark.read.schema(schema).parquet(self._path(number))
+        return None
+
+    def write(self, df: DataFrame, number: int) -> DataFrame:
+        df.write.mode("overwrite").parquet(self._path(number))
+        if number > 1 and self._exists(self._path(number - 1)):
+            drop_staged(self.spark, self._path(number - 1))
+        return self.spark.read.schema(df.schema).parquet(self._path(number))
+
+
 def lookup_side(df: DataFrame, rows: int) -> DataFrame:
     """Mark the small side of a lookup join for broadcast when its size is proven.
 

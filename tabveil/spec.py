@@ -94,6 +94,8 @@ class SynthesisSettings:
     step_size: float = 1.0
     # This share of the smallest budget pays for the ranking of columns; 0 leaves it unpaid, as the ledger then says.
     selection_share: float = 0.0
+    # A shared folder in which finished rounds and passes are kept, for a run that has to start again with the same seed.
+    journal: str | None = None
     seed: str = field(default_factory=lambda: secrets.token_hex(16))
 
     @property

@@ -197,6 +197,35 @@ def test_passes_by_blocks_equal_steps_from_storage(two_budgets, monkeypatch, siz
     assert not got.exceptAll(start).isEmpty()
 
 
+def test_a_stopped_repair_goes_on_after_its_last_pass(two_budgets, monkeypatch, tmp_path):
+    start = stage(draws.sample_independent(two_budgets, ALL, COLUMNS, SIZES, N, [0, 3], "s"), "start")
+    want = repair_blocks.repair_records(start, two_budgets, ALL, SIZES, [0, 3], N, passes=4, seed="s")
+    whole, ran, stop_at = repair_blocks.repair_pass, [], [2]
+
+    def watched(synth, goals, steps, *args):
+        ran.append(steps[0][0].sweep)
+        if ran[-1] == stop_at[0]:
+            raise InterruptedError
+        return whole(synth, goals, steps, *args)
+
+    monkeypatch.setattr(repair_blocks, "repair_pass", watched)
+
+    def run(**more):
+        return repair_blocks.repair_records(start, two_budgets, ALL, SIZES, [0, 3], N, **({"passes": 4, "seed": "s"} | more), journal=str(tmp_path))
+
+    with pytest.raises(InterruptedError):
+        run()
+    stop_at[0] = None
+    got = run()
+    assert ran == [0, 1, 2, 2, 3]
+    assert got.exceptAll(want).isEmpty() and got.count() == 2 * N
+    ran.clear()
+    assert run().exceptAll(want).isEmpty() and ran == []
+    stop_at[0] = 0
+    with pytest.raises(InterruptedError):
+        run(seed="other")
+
+
 def test_draws_in_tasks_equal_those_in_columns(spark):
     rows = spark.range(500).select("id", uniform(key_of("s", "move", 2, 7, F.lit(3), F.col("id"))).alias("u")).collect()
     got = repair_blocks.uniforms("s|move|2|7|3", np.array([r["id"] for r in rows]))
