@@ -8,7 +8,7 @@ from tabveil.catalog import oracle as O
 from tabveil.catalog.measuring import BY_ATTRS, TRIPLE, information
 from tabveil.catalog.tables import BUDGETS, COLUMNS, MICRODATA, SEED, WORKLOAD, microdata, prepared
 from tabveil.functions.accounting import sigma_for
-from tabveil.operators import consistency, draws, marginals, noise, repair, reweight, tree
+from tabveil.operators import consistency, draws, marginals, noise, repair, repair_blocks, reweight, tree
 from tabveil.plans.model_synthesis import model_synthesis
 from tabveil.plans.repair_synthesis import repair_synthesis
 from tabveil.session import stage
@@ -114,10 +114,16 @@ def repair_surpluses(spark, folder):
 
 
 def repair_step(spark, folder):
-    """One step that visits three marginals without a common attribute."""
+    """One step that visits three marginals without a common attribute, by blocks of records."""
     rows, targets, p, n = _independent(spark, folder)
-    staged = stage(rows, "records")
-    return repair.repair_step(staged, targets, STEP, p.sizes, IDS, n, None, SEED)
+    goals = repair_blocks.goal_tables(targets, [v.marginal for v in STEP], p.sizes, IDS)
+    return repair_blocks.repair_pass(rows, goals, [STEP], p.sizes, IDS, n, None, SEED)
+
+
+def repair_step_stored(spark, folder):
+    """The same step from storage, the way larger tables are repaired."""
+    rows, targets, p, n = _independent(spark, folder)
+    return repair.repair_step(stage(rows, "records"), targets, STEP, p.sizes, IDS, n, None, SEED)
 
 
 def _visit_sql(m, source: str = "sy") -> str:
@@ -274,6 +280,7 @@ least(quota, room - start) AS keep FROM su{T} JOIN (SELECT budget_id, max(high)
 WHERE room > start""",
     ),
     "repair_step": (repair_step, _step_sql()),
+    "repair_step_stored": (repair_step_stored, _step_sql()),
     "tree_edges": (tree_edges, EDGES_SQL),
     "tree_cpt": (tree_cpt, CPT_SQL),
     "tree_sample": (tree_sample, TARGETS + "," + _sample_sql(ORDER, "tree", "sy") + " SELECT * FROM sy"),

@@ -162,6 +162,11 @@ def dp_train_sweep(spark, folder):
     return private_training(microdata(spark, folder), MICRODATA, training.TrainingSettings(seed=SEED))
 
 
+def dp_train_poisson(spark, folder):
+    """The same sweep on batches that rows join by chance, with the privacy cost of that sampler."""
+    return private_training(microdata(spark, folder), MICRODATA, training.TrainingSettings(seed=SEED, sampler=training.POISSON))
+
+
 def _real_utility(model: str, **options):
     def run(spark, folder):
         source = prepare(microdata(spark, folder), MICRODATA, REPAIR)
@@ -194,6 +199,7 @@ min(score) FILTER (NOT isnan(score)) AS low, max(score) FILTER (NOT isnan(score)
     "clipped_gradient_step": (clipped_gradient_step, GRADIENT_SQL),
     "gradient_sum": (gradient_sum, GRADIENT_SQL),
     "dp_train_sweep": (dp_train_sweep, None),
+    "dp_train_poisson": (dp_train_poisson, None),
     "utility_logistic": (_real_utility("LogisticRegression"), None),
     "utility_forest": (_real_utility("RandomForest"), None),
     "utility_svm": (_real_utility("SVM"), None),
