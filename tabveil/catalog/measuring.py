@@ -9,7 +9,8 @@ from tabveil.catalog.tables import (
     BUDGETS, COLUMNS, DELTA, EPSILONS, NUMERIC, SEED, WORKLOAD, microdata, prepared,
 )
 from tabveil.functions.accounting import sigma_column
-from tabveil.operators import accountant, consistency, marginals, noise, selection, workload
+from tabveil.functions.cells import cell_of
+from tabveil.operators import accountant, consistency, marginals, noise, selection, sparse_noise, workload
 from tabveil.session import stage
 from tabveil.sources.tables import read_fact
 from tabveil.spec import Marginal
@@ -224,6 +225,37 @@ CASE WHEN charged THEN (SELECT count(*) FROM fi) ELSE 0 END::INTEGER AS queries,
 CASE WHEN charged THEN round({O.RHO}, 9) ELSE 0 END AS rho FROM bu, us"""
 
 
+# 116 million cells at 8 bins.
+LARGE = Marginal(K, ("l_quantity", "l_extendedprice", "o_totalprice", "p_retailprice", "c_mktsegment", "p_brand", "p_type", "n_name"))
+
+
+def noisy_large_marginal(spark, folder):
+    """Released cells of a marginal that can't be written out, per budget."""
+    p = prepared(spark, folder)
+    return sparse_noise.measure_sparse(stage(p.coded, "coded"), LARGE, p.sizes, BUDGETS, 1, SEED)
+
+
+def noisy_large_filled(spark, folder):
+    """Of these the cells that hold rows, with their counts and noise: all others come from the draws for empty cells."""
+    p = prepared(spark, folder)
+    coded = stage(p.coded, "coded")
+    released = sparse_noise.measure_sparse(coded, LARGE, p.sizes, BUDGETS, 1, SEED)
+    filled = coded.groupBy(cell_of(LARGE.attrs, p.sizes).alias("cell")).agg(F.count(F.lit(1)).alias("n"))
+    return released.join(filled, "cell").select(
+        "budget_id", "cell", "n", F.round("threshold", 6).alias("threshold"), F.round("noisy", 6).alias("noisy")
+    )
+
+
+LARGE_SQL = O.base() + f""",{O.BUDGETS},
+ct AS MATERIALIZED (SELECT {O.cell(LARGE.attrs)} AS cell, count(*) AS n FROM cd, dom GROUP BY ALL),
+sg AS (SELECT budget_id, sqrt(1::DOUBLE / (2 * {O.RHO})) AS sigma FROM bu),
+nz AS (SELECT budget_id, cell, n, sigma, n + sigma * {O.GAUSS} AS noisy FROM (
+  SELECT *, sha256({O.key(f"'{SEED}'", "'noise'", "budget_id", str(LARGE.marginal_id), "cell")}) AS dg FROM ct, sg))
+SELECT budget_id, cell, n, round(sigma * {{quantile}}::DOUBLE, 6) AS threshold, round(noisy, 6) AS noisy FROM nz
+WHERE noisy >= sigma * {{quantile}}::DOUBLE"""
+# Domain sizes of these columns are the same at every scale: 8 bins each, and 6, 26, 7 and 26 labels.
+LARGE_SQL = LARGE_SQL.format(quantile=repr(sparse_noise.threshold_for(8**4 * 6 * 26 * 7 * 26, 1.0)))
+
 SHARE = 0.25
 PAID_PAIRS, PAID_TRIPLES = 20, 8
 
@@ -423,6 +455,8 @@ ON cd.l_quantity = g.l_quantity AND cd.l_discount = g.l_discount AND cd.target =
     ),
     "epsilon_sweep": (_noisy(WORKLOAD, True, BUDGETS, K), _noisy_sql(WORKLOAD, True, "true", K)),
     "privacy_ledger": (privacy_ledger, LEDGER_SQL),
+    "noisy_large_marginal": (noisy_large_marginal, None),
+    "noisy_large_filled": (noisy_large_filled, LARGE_SQL),
     "paid_sets": (paid_sets, PAID_SETS_SQL),
     "paid_workload": (paid_workload, PAID_WORKLOAD_SQL),
     "paid_ledger": (paid_ledger, PAID_LEDGER_SQL),

@@ -1,13 +1,15 @@
 """Marginals, workload, noise, consistency and accounting."""
 
 import math
+from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tabveil.functions.accounting import rho_for, sigma_for
 from tabveil.functions.keyed import gaussian, key_of
-from tabveil.operators import accountant, consistency, marginals, noise, workload
+from tabveil.operators import accountant, consistency, marginals, noise, sparse_noise, workload
 from tabveil.session import stage
 from tabveil.spec import Marginal, PrivacyBudget, budgets_for
 
@@ -166,3 +168,34 @@ def test_number_after(spark):
     df = spark.createDataFrame([("cost once: 3.25 then",), ("none",)], "s string")
     got = [r[0] for r in df.select(accountant.number_after(F.col("s"), "once:")).collect()]
     assert got[0] == 3.25 and math.isnan(got[1])
+
+
+def test_sparse_noise_is_distributed_as_the_dense_one(spark):
+    """A domain that can be written out: what is released, how often and how large, filled and empty cells apart."""
+    sizes, m = {"a": 40, "b": 50}, Marginal(3, ("a", "b"))
+    rows = [(i % 40, (i * 7) % 50) for i in range(600)] + [(5, 6)] * 300
+    coded = stage(spark.createDataFrame(rows, "a int, b int"), "coded")
+    budgets = [PrivacyBudget(i, 1.0, 1e-5) for i in range(10)]
+    got = sparse_noise.measure_sparse(coded, m, sizes, budgets, 4, "s", most_empty=60).collect()
+    sigma = sigma_for(1.0, 1e-5, 4)
+    threshold = sparse_noise.threshold_for(2000, sigma, 60)
+    assert threshold > 0 and all(r["noisy"] >= threshold and r["threshold"] == threshold for r in got)
+    counts = Counter(a * 50 + b for a, b in rows)
+    dense = noise.measure(
+        spark.createDataFrame([(3, c, n) for c, n in counts.items()], "marginal_id int, cell long, n long"), budgets, 4, "s", clip=False
+    ).filter(F.col("noisy") >= threshold).collect()
+    have = {(r["budget_id"], r["cell"]): r["noisy"] for r in got if r["cell"] in counts}
+    assert have.keys() == {(r["budget_id"], r["cell"]) for r in dense}
+    assert all(abs(have[r["budget_id"], r["cell"]] - r["noisy"]) < 1e-9 for r in dense)
+    empty = [r for r in got if r["cell"] not in counts]
+    assert all(0 <= r["cell"] < 2000 for r in empty) and len({(r["budget_id"], r["cell"]) for r in empty}) == len(empty)
+    n, share = 2000 - len(counts), 0.5 * math.erfc(threshold / sigma / 2**0.5)
+    per = Counter(r["budget_id"] for r in empty)
+    assert abs(len(empty) / 10 - n * share) < 5 * (n * share / 10) ** 0.5
+    assert 0.1 < np.var([per[i] for i in range(10)]) / (n * share * (1 - share)) < 3
+    # Mean of a normal's tail, and cells all over the domain.
+    tail = sigma * math.exp(-((threshold / sigma) ** 2) / 2) / (share * math.sqrt(2 * math.pi))
+    assert abs(np.mean([r["noisy"] for r in empty]) - tail) < 5 * sigma / len(empty) ** 0.5
+    assert len({r["cell"] for r in empty}) > 0.2 * n
+    with pytest.raises(Exception, match="outside its domain"):
+        sparse_noise.measure_sparse(spark.createDataFrame([(40, 0)], "a int, b int"), m, sizes, budgets[:1], 1, "s").collect()
