@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabveil.llm.common import stage
+from tabveil.llm.common import drop, stage
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -19,6 +19,7 @@ def components(edges: DataFrame) -> DataFrame:
     found = None
     while not left.isEmpty():
         both = left.union(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        last, before = left, found
         near = stage(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("to")).select(
             "node", F.least("node", "to").alias("to")
         ), "nearest")
@@ -35,8 +36,11 @@ def components(edges: DataFrame) -> DataFrame:
             "edges",
         )
         if found is None:
-            found = point.toDF("node", "root")
+            found = stage(point.toDF("node", "root"), "roots")
         else:
             step = point.toDF("root", "to")
             found = stage(found.join(step, "root", "left").select("node", F.coalesce("to", "root").alias("root")), "roots")
+            drop(before)
+        drop(last, near, point)
+    drop(left)
     return found if found is not None else edges.sparkSession.createDataFrame([], "node long, root long")

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabveil.llm.common import content, small_side, stage
+from tabveil.llm.common import content, drop, small_side, stage
 from tabveil.llm.components import components
 
 K = 64
@@ -166,7 +166,7 @@ def estimated(pairs: DataFrame, classes: DataFrame, k: int, least_overlap: int,
 
 
 def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, key: str, text: str, size: int, percent: int) -> DataFrame:
-    """The pairs whose full sets reach the threshold."""
+    """The pairs whose full sets reach the threshold, written."""
     pairs = stage(pairs, "estimated")
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
     wanted = small_side(
@@ -192,9 +192,11 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, key: str, te
 
     sets = stage(rows.mapInArrow(make, "node long, values array<long>").dropDuplicates(["node"]), "sets")
     inter = F.size(F.array_intersect("va", "vb"))
-    return pairs.join(sets.toDF("a", "va"), "a").join(sets.toDF("b", "vb"), "b").where(
+    links = stage(pairs.join(sets.toDF("a", "va"), "a").join(sets.toDF("b", "vb"), "b").where(
         inter * 100 >= (F.size("va") + F.size("vb") - inter) * percent
-    ).select("a", "b")
+    ).select("a", "b"), "links")
+    drop(pairs, wanted, sets)
+    return links
 
 
 def near_copies(
@@ -202,20 +204,23 @@ def near_copies(
     least_overlap: int = LEAST_OVERLAP,
 ) -> DataFrame:
     """(key, mark, n_shingles, component_id, kept, group) of each row; groups that share a key share a component id."""
-    rows = stage(sketches(docs, key, text, size, k), "sketches")
+    made = stage(sketches(docs, key, text, size, k), "sketches")
+    rows = stage(made.select("key", "mark", "n", "digest"), "rows")
     classes = stage(
-        rows.where("digest is not null").groupBy("digest").agg(
+        made.where("digest is not null").groupBy("digest").agg(
             F.min("key").alias("key"), F.first("n").alias("n"), F.first("sketch").alias("sketch"),
             *[F.first(p).alias(p) for p in PARITY],
         ).withColumn("node", F.monotonically_increasing_id()),
         "classes",
     )
+    drop(made)
     prefixes = stage(prefix_rows(classes, k, least_overlap, percent), "prefixes")
     lists = prefixes.groupBy("value").agg(
         F.count(F.lit(1)).alias("members"), F.min(F.struct("node", "n")).alias("low"),
         F.max_by(F.struct("node", "n"), F.struct("weight", "node")).alias("high"),
     ).where("members > 1").drop("members")
     members = stage(prefixes.drop("weight").join(lists, "value"), "members")
+    drop(prefixes)
 
     # First pass: each class and the hub of most of its lists.
     hubs = F.array_distinct(F.array("low", "high"))
@@ -226,7 +231,6 @@ def near_copies(
     best = often.groupBy("node").agg(F.max(F.struct("c", "hub")).getField("hub").alias("hub"))
     pairs = stage(best.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct(), "pairs")
     links = verified(estimated(pairs, classes, k, least_overlap, percent), docs, classes, key, text, size, percent)
-    links = stage(links, "links")
     roots = components(links)
 
     # Second pass: what is still apart in a list.
@@ -235,6 +239,7 @@ def near_copies(
     main = counted.groupBy("value").agg(F.max(F.struct("c", "root")).alias("m"), F.count(F.lit(1)).alias("roots"))
     open_lists = main.where("roots > 1").select("value", F.col("m.root").alias("main"))
     placed = stage(placed.join(open_lists, "value").join(classes.select("node", *PARITY), "node"), "placed")
+    drop(members)
     one = placed.where("root <> main").select(
         "value", F.col("node").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"), *signatures("a")
     )
@@ -243,9 +248,11 @@ def near_copies(
     more = one.join(two, "value").where(apart & sizes_fit(F.col("na"), F.col("nb"), percent) & alike("a", "b", percent)).select(
         F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
     ).distinct()
-    met = stage(more, "apart").join(pairs, ["a", "b"], "left_anti")
+    more = stage(more, "apart")
+    drop(placed)
+    met = more.join(pairs, ["a", "b"], "left_anti")
     late = verified(estimated(met, classes, k, least_overlap, percent), docs, classes, key, text, size, percent)
-    late = stage(late, "links")
+    drop(more, pairs)
     if not late.isEmpty():
         roots = components(links.union(late))
 
