@@ -117,13 +117,9 @@ def near_texts():
 
 
 def test_join_equals_all_pairs(spark, odd, folder, monkeypatch):
-    assert joined(odd.where("length(text) < 1000 or text is null")) == brute_join([(r[0], r[1]) for r in ODD if r[1] != LONG], 5, 80)
-    # LONG's lines repeat, so it is like no other.
-    assert joined(odd)[6, len(shingles(LONG, 5)), 6] >= 1
+    assert joined(odd) == brute_join([(r[0], r[1]) for r in ODD], 5, 80)
     rows = near_texts()
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    for size, percent in ((5, 80),):
-        assert joined(docs, size=size, percent=percent) == brute_join(rows, size, percent)
     # Many blocks, each divided by its members.
     monkeypatch.setattr(jaccard_join, "BLOCK_NODES", 3)
     monkeypatch.setattr(jaccard_join, "GROUP_MEMBERS", 7)
