@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tabveil.functions.accounting import rho_for, sigma_for
 from tabveil.functions.keyed import gaussian, key_of
-from tabveil.operators import accountant, consistency, marginals, noise, sparse_noise, workload
+from tabveil.operators import accountant, consistency, marginals, noise, selection, sparse_noise, workload
 from tabveil.session import stage
 from tabveil.spec import Marginal, PrivacyBudget, budgets_for
 
@@ -199,3 +199,38 @@ def test_sparse_noise_is_distributed_as_the_dense_one(spark):
     assert len({r["cell"] for r in empty}) > 0.2 * n
     with pytest.raises(Exception, match="outside its domain"):
         sparse_noise.measure_sparse(spark.createDataFrame([(40, 0)], "a int, b int"), m, sizes, budgets[:1], 1, "s").collect()
+
+
+def _information(rows):
+    n, pairs = len(rows), Counter(rows)
+    left, right = Counter(r[0] for r in rows), Counter(r[1] for r in rows)
+    return sum(c / n * math.log(c * n / (left[a] * right[b])) for (a, b), c in pairs.items())
+
+
+def test_selection_is_paid_from_the_budget(spark):
+    rng = np.random.default_rng(8)
+    for n in (4, 10, 40):
+        most = selection.information_sensitivity(n)
+        for _ in range(300):
+            rows = [(int(rng.integers(0, 3)) * (i % 2), int(rng.integers(0, 3))) for i in range(n)]
+            other = [*rows[1:], (int(rng.integers(0, 4)), int(rng.integers(0, 4)))]
+            assert abs(_information(rows) - _information(other)) <= most + 1e-12
+    budgets = budgets_for((0.5, 2.0), 1e-5)
+    spent = selection.selection_rho(budgets, 0.25)
+    assert spent == pytest.approx(rho_for(0.5, 1e-5) / 4)
+    ledger = noise.privacy_ledger(spark, budgets, 10, 7, spent).collect()
+    for b in budgets:
+        charged = {r["used_for"]: r["rho"] for r in ledger if r["budget_id"] == b.budget_id and r["charged"]}
+        assert charged.keys() == {"column ranking", "marginals"}
+        assert sum(charged.values()) == pytest.approx(rho_for(b.epsilon, b.delta))
+    cells = spark.createDataFrame([(0, 0, 5)], "marginal_id int, cell long, n long")
+    whole, less = (noise.measure(cells, budgets[:1], 1, "s", spent=s).first()["sigma"] for s in (0.0, spent))
+    assert less == pytest.approx(whole / 0.75**0.5)
+    with pytest.raises(ValueError):
+        noise.measure(cells, budgets, 1, "s", spent=rho_for(0.5, 1e-5))
+    # The best of well-separated scores is nearly always found, of equal ones each about as often.
+    scores = spark.createDataFrame([(i, 10.0 * (i == 3)) for i in range(5)], "o int, score double")
+    clear = [selection.noisy_best(scores, "score", "o", 1, 8.0, 0.05, f"s{i}", "p").first()["o"] for i in range(3)]
+    assert clear == [3, 3, 3]
+    with pytest.raises(ValueError):
+        selection.selection_rho(budgets, 1.0)
