@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tabveil.catalog import synthesis
-from tabveil.functions.keyed import key_of, uniform
+from tabveil.functions.keyed import key_of, uniform, uniform_pair
 from tabveil.operators import draws, ranks, repair, repair_blocks, reweight, tree
 from tabveil.operators.marginals import count_cells
 from tabveil.session import stage
@@ -68,6 +68,28 @@ def test_arrays_and_joins_draw_the_same(targets):
     assert by_array.exceptAll(by_join).count() == 0
 
 
+def test_draws_are_searched_in_batches(spark, targets):
+    """No plan that walks through a column's interval ends, or parses a hash as text, for every row."""
+    cuts = stage(draws.intervals(draws.conditional_masses(targets, ALL, ORDER, SIZES)), "cuts")
+    plan = draws.draw_rows(cuts, ORDER, SIZES, N, [0], "s", "tree")._jdf.queryExecution().executedPlan().toString()
+    assert "lambda" not in plan and "conv(" not in plan and "Join" not in plan
+    rows = spark.range(300).select(key_of("s", "tree", F.lit(0), 1, F.col("id")).alias("k"))
+    both = rows.select(F.md5("k").alias("m"), uniform(F.col("k")).alias("a"), uniform(F.col("k"), 1).alias("b")).toArrow().combine_chunks()
+    part = both.column("m").chunk(0)
+    for cut in (part, part[7:50], part[:0]):
+        at = slice(7, 50) if len(cut) == 43 else slice(0, len(cut))
+        first, second = uniform_pair(cut)
+        assert first.tolist() == both.column("a").to_pylist()[at] and second.tolist() == both.column("b").to_pylist()[at]
+
+
+def test_ends_are_counted_up_to_the_draw():
+    """A draw on an end belongs to the next code; codes without mass, and a draw below all ends."""
+    table = np.sort(np.array([[[0.25, 0.25, 1.0, np.inf, np.inf, np.inf, np.inf]], [[0.0, 0.5, 0.75, 1.0, 1.0, np.inf, np.inf]]]), axis=2)
+    u = np.array([0.0, 0.2, 0.25, 0.99, 0.0, 0.5, 0.74, 0.999])
+    given = np.array([0, 0, 0, 0, 1, 1, 1, 1])
+    assert draws._ends_passed(table, given, u).tolist() == [0, 0, 2, 2, 1, 2, 2, 3]
+
+
 def test_tree_keeps_dependence_and_zero_cells(targets, joint):
     got = tree.sample_tree(targets, ALL, ORDER, COLUMNS, SIZES, N, [0], "s")
     pair = got.groupBy("a", "t").count().collect()
