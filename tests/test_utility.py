@@ -217,15 +217,17 @@ def test_all_classifiers_beat_chance(raw):
     assert all(v > 0.8 for v in got.values())
 
 
-def test_kernel_rows_are_not_kept_twice(spark, monkeypatch):
-    """The fit keeps its blocks of rows; neither the kernel features nor the one-hot rows that it doesn't read are kept beside them."""
+@pytest.mark.parametrize("model, estimator", [("SVM", "LinearSVC"), ("LogisticRegression", "LogisticRegression")])
+def test_feature_vectors_are_not_kept_twice(spark, monkeypatch, model, estimator):
+    """A fit keeps its blocks of rows: beside them only the codes are kept, neither kernel features nor one-hot vectors."""
     rows = stage(spark.range(200).selectExpr("cast(id % 3 as int) AS a", "cast(id % 5 as int) AS b", "cast(id % 3 > 0 as int) AS t"), "rows")
-    levels, persisted, fit = [], [], models.LinearSVC.fit
-    monkeypatch.setattr(models.LinearSVC, "fit", lambda self, df, params=None: (levels.append(df.storageLevel), fit(self, df, params))[1])
-    kept = type(rows).persist
+    levels, persisted, kind = [], [], getattr(models, estimator)
+    fit, kept = kind.fit, type(rows).persist
+    monkeypatch.setattr(kind, "fit", lambda self, df, params=None: (levels.append(df.storageLevel), fit(self, df, params))[1])
     monkeypatch.setattr(type(rows), "persist", lambda self, *level: (persisted.append(self.columns), kept(self, *level))[1])
-    fitted = models.fit_classifiers(rows, ["a", "b"], "t", models=["SVM"])
-    assert len(levels) == 1 and not levels[0].useDisk and not levels[0].useMemory and not persisted
+    fitted = models.fit_classifiers(rows, ["a", "b"], "t", models=[model])
+    assert len(levels) == 1 and not levels[0].useDisk and not levels[0].useMemory
+    assert persisted == [["a", "b", "label"]]
     assert models.score_classifiers(fitted, rows, "t").filter("prediction = label").count() == 200
 
 
