@@ -6,7 +6,8 @@ from the end by these sums. Both are exact over the whole lattice. Uniform numbe
 the unit's number in the text and the step, so a row always gets the same pieces, wherever it is computed;
 rows with equal keys share their numbers. A null key counts as 0.
 
-Forward sums are made once for each distinct unit a worker remembers; draws run over whole batches at once.
+Forward sums are made once for each distinct unit a worker remembers, for all new units of a batch together; draws run over
+whole batches at once.
 Decoding joins the pieces' bytes and drops the blank put before the text: it gives back every text.
 
 Null and empty texts have no pieces and decode to empty. Extra columns pass through.
@@ -33,6 +34,8 @@ SEED = 42
 KNOWN_STATES = 500_000
 DRAW_BITS = 30
 BATCH_CHARS = 1 << 20
+# Units up to this many characters are filtered together, this many at once, place by place; longer ones alone.
+TOGETHER_CHARS, UNITS_TOGETHER = 64, 50_000
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -102,18 +105,66 @@ class Lattices:
             ]))
         return states[-1]
 
+    def add_together(self, units: list[str]) -> None:
+        """``add`` for many units without bytes of their own: the sums of all units' first places, then of their second ones."""
+        sizes = np.array([len(u) for u in units], "i8")
+        text = "\n".join(units)
+        ends, lengths, ids, scores = self.vocabulary.matches_within(text)
+        # Place p of the joined text is state base + p; the place before a unit is the start.
+        begins = np.cumsum(sizes + 1) - sizes - 1
+        depth = np.arange(len(text) + 1) - np.repeat(begins, sizes + 1)
+        base = self.n_states - 1
+        # Matches by depth, then place: a depth's matches stand together, and so do those of a place.
+        order = np.argsort(depth[ends], kind="stable")
+        ends, starts, ids = ends[order], (ends - lengths)[order], ids[order]
+        scores = scores[order] * self.sharpness
+        total = np.zeros(len(text) + 1)
+        shares = np.empty(len(ends))
+        cuts = np.searchsorted(depth[ends], np.arange(1, int(sizes.max()) + 2)).tolist()
+        for a, b in zip(cuts, cuts[1:]):
+            end, weights = ends[a:b], total[starts[a:b]] + scores[a:b]
+            first = np.flatnonzero(np.diff(end, prepend=-1))
+            counts = np.diff(first, append=b - a)
+            top = np.maximum.reduceat(weights, first)
+            parts = np.exp(weights - np.repeat(top, counts))
+            whole = np.add.reduceat(parts, first)
+            total[end[first]] = top + np.log(whole)
+            shares[a:b] = parts / np.repeat(whole, counts)
+        # States in the order of their places; choices without a share go.
+        order = np.argsort(ends, kind="stable")
+        order = order[shares[order] > 0]
+        ends, starts, ids, shares = ends[order], starts[order], ids[order], shares[order]
+        for k in np.flatnonzero(ids < 0).tolist():
+            ids[k] = self.atom(text[starts[k] : ends[k]].encode())
+        first = np.flatnonzero(np.diff(ends, prepend=-1))
+        counts = np.diff(first, append=len(ends))
+        # Running sums within a state, added one by one from its first choice.
+        upto, number = shares.copy(), np.arange(len(ends)) - np.repeat(first, counts)
+        for k in range(1, int(counts.max())):
+            at = np.flatnonzero(number == k)
+            upto[at] += upto[at - 1]
+        upto[first + counts - 1] = 1.0
+        limits = ((base + ends) << DRAW_BITS) + np.rint(np.minimum(upto, 1.0) * (1 << DRAW_BITS)).astype("i8")
+        self.limits.frombytes(limits.tobytes())
+        self.target.frombytes(np.where(depth[starts] > 0, base + starts, 0).tobytes())
+        self.emit.frombytes(ids.tobytes())
+        self.n_states += len(text)
+        self.final.update(zip(units, (base + begins + sizes).tolist()))
+
     def look_up(self, units: list[str]) -> np.ndarray:
-        final, add = self.final, self.add
-        out = []
-        for u in units:
-            s = final.get(u)
-            if s is None:
-                s = final[u] = add(u)
-                self.tables = None
-            out.append(s)
+        final = self.final
+        new = [u for u in dict.fromkeys(units) if u not in final]
+        if new:
+            self.tables = None
+            short = [u for u in new if len(u) <= TOGETHER_CHARS and bytes_of(u) is None]
+            for at in range(0, len(short), UNITS_TOGETHER):
+                self.add_together(short[at : at + UNITS_TOGETHER])
+            for u in new:
+                if u not in final:
+                    final[u] = self.add(u)
         if self.tables is None:
             self.tables = tuple(np.array(np.frombuffer(x, "i8")) for x in (self.limits, self.target, self.emit))
-        return np.array(out, "i8")
+        return np.array([final[u] for u in units], "i8")
 
     def sample(self, states: np.ndarray, streams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(emitted, number emitted per unit): draws from the ends of all units to their starts."""

@@ -10,6 +10,9 @@ text itself is written in bytes too, which keeps decoding lossless.
 from __future__ import annotations
 
 import re
+from itertools import chain
+
+import numpy as np
 
 BLANK = "▁"
 UNKNOWN_PENALTY = 10.0
@@ -40,6 +43,15 @@ class Vocabulary:
             if len(piece) == 1:
                 self.single.add(piece)
         self.automaton.make_automaton()
+        # The same pieces by their place in three arrays, for many units at once.
+        self.numbered = ahocorasick.Automaton()
+        listed = [(piece, *value) for piece, value in self.automaton.items()]
+        for place, (piece, *_) in enumerate(listed):
+            self.numbered.add_word(piece, place)
+        self.numbered.make_automaton()
+        self.lengths = np.array([length for _, length, _, _ in listed], "i8")
+        self.ids = np.array([i for _, _, i, _ in listed], "i8")
+        self.scores = np.array([score for _, _, _, score in listed], "f8")
         self.unknown = least - UNKNOWN_PENALTY
 
     def matches(self, unit: str):
@@ -58,6 +70,23 @@ class Vocabulary:
                 yield following + 1, 1, -1, self.unknown
             following += 1
 
+    def matches_within(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """``matches`` of all units of a text, joined by line ends, as arrays: (end, length, id, score) with ends in the text."""
+        found = np.fromiter(chain.from_iterable(self.numbered.iter(text)), "i8").reshape(-1, 2)
+        ends, places = found[:, 0] + 1, found[:, 1]
+        single = self.single
+        strange = {c for c in set(text) if c not in single and c != "\n"}
+        if not strange:
+            return ends, self.lengths[places], self.ids[places], self.scores[places]
+        extra = np.array([k + 1 for k, c in enumerate(text) if c in strange], "i8")
+        ends = np.concatenate([ends, extra])
+        order = np.argsort(ends, kind="stable")
+        more = len(extra)
+        return tuple(
+            np.concatenate([values[places], np.full(more, other, values.dtype)])[order] if values is not None else ends[order]
+            for values, other in ((None, None), (self.lengths, 1), (self.ids, -1), (self.scores, self.unknown))
+        )
+
 
 _UNITS = re.compile(f"{BLANK}*[^{BLANK}\n]+|{BLANK}+|\n")
 

@@ -258,6 +258,25 @@ def test_sampling_has_the_lattice_distribution(pieces):
         assert abs(seen[path] / n - p) < 5 * math.sqrt(p * (1 - p) / n) + 1e-4
 
 
+def test_lattices_of_many_units_equal_those_of_single_ones(pieces, monkeypatch):
+    units = ["▁there", "▁▁▁", "a", "日本語", "x\U0001f600y", "e\u0301", "\x00\r", "z" * 64, "▁internationalisation.", "https://a.b/c?d=1"]
+    vocabulary = Vocabulary(pieces)
+    single, many = (piece_sampling.Lattices(vocabulary, 1 / 2000) for _ in range(2))
+    want = [single.add(u) for u in units]
+    # New units that are not long are filtered together, in one call for all of them.
+    monkeypatch.setattr(many, "add", None)
+    got = many.look_up(units).tolist()
+    assert many.look_up(units[::-1]).tolist() == got[::-1]
+    numbers = np.arange(3000, dtype="u8")
+    for a, b in zip(want, got):
+        single.tables = tuple(np.array(x, "i8") for x in (single.limits, single.target, single.emit))
+        one, sizes = single.sample(np.full(3000, a), piece_sampling.mixed(numbers))
+        two, others = many.sample(np.full(3000, b), piece_sampling.mixed(numbers))
+        spell = [[(v.atom_bytes[i - len(vocabulary.decoded)] if i >= len(vocabulary.decoded) else i) for i in x.tolist()]
+                 for v, x in ((single, one), (many, two))]
+        assert spell[0] == spell[1] and (sizes == others).all()
+
+
 def test_archives_reject_magic_in_payloads(spark):
     fake = "WARC/1.1\r\nWARC-Type: response\r\nContent-Length: 5\r\n\r\nhello\r\n\r\n"
     rows = [(i, f"http://h/{i}", [fake * 3, "x" * (37 * i), None, "same", fake + str(i)][i % 5], "extra") for i in range(120)]
