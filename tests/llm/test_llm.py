@@ -87,6 +87,29 @@ def test_shards_hold_whole_texts_in_order(spark, odd, corpus):
     assert [r["ids"] for r in one] == [whole.encode(text, add_special_tokens=False).ids + [2]]
 
 
+def test_encoder_looks_words_up_once_a_batch():
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    class Counted(dict):
+        looked_up = 0
+
+        def __getitem__(self, key):
+            self.looked_up += 1
+            return super().__getitem__(key)
+
+    model = tokenizer_file("word_bpe_49k.json")
+    whole, encoder = Tokenizer.from_buffer(model), token_frames.Encoder(model, 2)
+    texts = ["", " ", "a", " Été, Straße; x  y\n", "\x0b\x1c\x85\u2028 İx ΑΣ, 日本 a1 #", "...", "same word " * 500, None, "\r\n a"]
+    encoder.words = Counted(encoder.words)
+    got = encoder.encode(pa.array([None, "cut", *[t or "" for t in texts]]).slice(2))
+    for text, ids in zip(texts, got, strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == whole.encode(text or "", add_special_tokens=False).ids + [2]
+    # Two parts for each of about twenty chunks, not one for each of more than a thousand words.
+    assert 0 < encoder.words.looked_up < 100
+    assert encoder.encode(pa.array([""])) == [b"\2\0\0\0"] and encoder.encode(pa.array([], pa.string())) == []
+
+
 def test_damaged_frame_is_found(tmp_path):
     path = tmp_path / "shard"
     with path.open("wb") as out:
