@@ -31,7 +31,7 @@ from tabveil.llm.pieces import Vocabulary, bytes_of, units_of
 
 SHARPNESS = 1 / 2000
 SEED = 42
-KNOWN_STATES = 500_000
+KNOWN_STATES = 750_000
 DRAW_BITS = 30
 BATCH_CHARS = 1 << 20
 # Units up to this many characters are filtered together, this many at once, place by place; longer ones alone.
@@ -63,7 +63,7 @@ class Lattices:
 
     def clear(self) -> None:
         self.final: dict[str, int] = {}
-        self.limits, self.target, self.emit = array("q"), array("q"), array("q")
+        self.limits, self.target, self.emit = array("q"), array("i"), array("i")
         self.n_states = 1  # state 0: the start
         self.tables = None
 
@@ -115,12 +115,12 @@ class Lattices:
         depth = np.arange(len(text) + 1) - np.repeat(begins, sizes + 1)
         base = self.n_states - 1
         # Matches by depth, then place: a depth's matches stand together, and so do those of a place.
-        order = np.argsort(depth[ends], kind="stable")
-        ends, starts, ids = ends[order], (ends - lengths)[order], ids[order]
-        scores = scores[order] * self.sharpness
+        places, depths = ends, depth[ends].astype("u1")
+        order = np.argsort(depths, kind="stable")
+        ends, starts, scores = ends[order], (ends - lengths)[order], scores[order] * self.sharpness
         total = np.zeros(len(text) + 1)
         shares = np.empty(len(ends))
-        cuts = np.searchsorted(depth[ends], np.arange(1, int(sizes.max()) + 2)).tolist()
+        cuts = np.cumsum(np.bincount(depths)).tolist()
         for a, b in zip(cuts, cuts[1:]):
             end, weights = ends[a:b], total[starts[a:b]] + scores[a:b]
             first = np.flatnonzero(np.diff(end, prepend=-1))
@@ -131,9 +131,9 @@ class Lattices:
             total[end[first]] = top + np.log(whole)
             shares[a:b] = parts / np.repeat(whole, counts)
         # States in the order of their places; choices without a share go.
-        order = np.argsort(ends, kind="stable")
-        order = order[shares[order] > 0]
-        ends, starts, ids, shares = ends[order], starts[order], ids[order], shares[order]
+        shares[order] = shares.copy()
+        some = np.flatnonzero(shares > 0)
+        ends, starts, ids, shares = places[some], (places - lengths)[some], ids[some], shares[some]
         for k in np.flatnonzero(ids < 0).tolist():
             ids[k] = self.atom(text[starts[k] : ends[k]].encode())
         first = np.flatnonzero(np.diff(ends, prepend=-1))
@@ -146,8 +146,8 @@ class Lattices:
         upto[first + counts - 1] = 1.0
         limits = ((base + ends) << DRAW_BITS) + np.rint(np.minimum(upto, 1.0) * (1 << DRAW_BITS)).astype("i8")
         self.limits.frombytes(limits.tobytes())
-        self.target.frombytes(np.where(depth[starts] > 0, base + starts, 0).tobytes())
-        self.emit.frombytes(ids.tobytes())
+        self.target.frombytes(np.where(depth[starts] > 0, base + starts, 0).astype("i4").tobytes())
+        self.emit.frombytes(ids.astype("i4").tobytes())
         self.n_states += len(text)
         self.final.update(zip(units, (base + begins + sizes).tolist()))
 
@@ -163,7 +163,9 @@ class Lattices:
                 if u not in final:
                     final[u] = self.add(u)
         if self.tables is None:
-            self.tables = tuple(np.array(np.frombuffer(x, "i8")) for x in (self.limits, self.target, self.emit))
+            self.tables = tuple(
+                np.array(np.frombuffer(x, kind)) for x, kind in ((self.limits, "i8"), (self.target, "i4"), (self.emit, "i4"))
+            )
         return np.array([final[u] for u in units], "i8")
 
     def sample(self, states: np.ndarray, streams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -177,7 +179,7 @@ class Lattices:
             choice = np.searchsorted(limits, (left << DRAW_BITS) + u, "right")
             steps.append((at, emit[choice]))
             counts[at] += 1
-            left = target[choice]
+            left = target[choice].astype("i8")
             more = left > 0
             at, left, step = at[more], left[more], step + np.uint64(1)
         ends = np.cumsum(counts)

@@ -10,7 +10,6 @@ text itself is written in bytes too, which keeps decoding lossless.
 from __future__ import annotations
 
 import re
-from itertools import chain
 
 import numpy as np
 
@@ -43,16 +42,8 @@ class Vocabulary:
             if len(piece) == 1:
                 self.single.add(piece)
         self.automaton.make_automaton()
-        # The same pieces by their place in three arrays, for many units at once.
-        self.numbered = ahocorasick.Automaton()
-        listed = [(piece, *value) for piece, value in self.automaton.items()]
-        for place, (piece, *_) in enumerate(listed):
-            self.numbered.add_word(piece, place)
-        self.numbered.make_automaton()
-        self.lengths = np.array([length for _, length, _, _ in listed], "i8")
-        self.ids = np.array([i for _, _, i, _ in listed], "i8")
-        self.scores = np.array([score for _, _, _, score in listed], "f8")
         self.unknown = least - UNKNOWN_PENALTY
+        self._tree: Tree | None = None
 
     def matches(self, unit: str):
         """(end, length, id, score) by end, longer pieces first; id -1: the bytes of a character without a piece."""
@@ -70,22 +61,60 @@ class Vocabulary:
                 yield following + 1, 1, -1, self.unknown
             following += 1
 
+    def tree(self) -> Tree:
+        """The pieces as a tree in arrays, made on first use."""
+        if self._tree is None:
+            self._tree = Tree({piece: value[1:] for piece, value in self.automaton.items()})
+        return self._tree
+
     def matches_within(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """``matches`` of all units of a text, joined by line ends, as arrays: (end, length, id, score) with ends in the text."""
-        found = np.fromiter(chain.from_iterable(self.numbered.iter(text)), "i8").reshape(-1, 2)
-        ends, places = found[:, 0] + 1, found[:, 1]
-        single = self.single
-        strange = {c for c in set(text) if c not in single and c != "\n"}
-        if not strange:
-            return ends, self.lengths[places], self.ids[places], self.scores[places]
-        extra = np.array([k + 1 for k, c in enumerate(text) if c in strange], "i8")
-        ends = np.concatenate([ends, extra])
+        ends, lengths, ids, scores = [], [], [], []
+        tree = self.tree()
+        points = np.frombuffer(text.encode("utf-32-le"), "<u4")
+        at = np.flatnonzero(points != ord("\n"))
+        node, length = tree.first[points[at]], 1
+        while True:
+            # A character without a piece of its own is a match too.
+            found = np.flatnonzero(tree.ids[node] >= 0) if length > 1 else slice(None)
+            ends.append(at[found] + length)
+            lengths.append(np.full(len(ends[-1]), length))
+            ids.append(tree.ids[node[found]])
+            scores.append(tree.scores[node[found]])
+            more = (node > 0) & (node < len(tree.next)) & (at + length < len(points))
+            at, node = at[more], node[more]
+            if not len(at):
+                break
+            node = tree.next[node, tree.codes[points[at + length]]]
+            at, node = at[node > 0], node[node > 0]
+            length += 1
+        # Longer pieces first.
+        ends, lengths, ids, scores = (np.concatenate(x[::-1]) for x in (ends, lengths, ids, scores))
         order = np.argsort(ends, kind="stable")
-        more = len(extra)
-        return tuple(
-            np.concatenate([values[places], np.full(more, other, values.dtype)])[order] if values is not None else ends[order]
-            for values, other in ((None, None), (self.lengths, 1), (self.ids, -1), (self.scores, self.unknown))
-        )
+        scores[ids < 0] = self.unknown
+        return ends[order], lengths[order], ids[order], scores[order]
+
+
+class Tree:
+    """Pieces by their characters: node 0 is none, then nodes with further characters, then the others."""
+
+    def __init__(self, pieces: dict[str, tuple[int, float]]):
+        inner = {piece[:k] for piece in pieces for k in range(1, len(piece))}
+        nodes = [*sorted(inner), *sorted(set(pieces) - inner)]
+        number = {text: n for n, text in enumerate(nodes, 1)}
+        kind = np.min_scalar_type(len(nodes))
+        later = sorted({c for piece in pieces for c in piece[1:]})
+        self.first, self.codes = np.zeros(0x110000, kind), np.zeros(0x110000, np.min_scalar_type(len(later)))
+        self.codes[[ord(c) for c in later]] = np.arange(1, len(later) + 1)
+        self.next = np.zeros((len(inner) + 1, len(later) + 1), kind)
+        self.ids, self.scores = np.full(len(nodes) + 1, -1, "i8"), np.zeros(len(nodes) + 1)
+        for text, n in number.items():
+            if len(text) == 1:
+                self.first[ord(text)] = n
+            else:
+                self.next[number[text[:-1]], self.codes[ord(text[-1])]] = n
+            if text in pieces:
+                self.ids[n], self.scores[n] = pieces[text]
 
 
 _UNITS = re.compile(f"{BLANK}*[^{BLANK}\n]+|{BLANK}+|\n")
