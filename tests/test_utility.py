@@ -275,3 +275,25 @@ def test_private_sweep_is_whole_and_its_baseline_keeps_all_rows(spark, monkeypat
     assert [r.noise_multiplier for r in runs] == [0.0, 0.5, 1.0, 1.5, 2.0, 3.0]
     assert {(r.epochs, r.batch_size) for r in runs} == {(20, 250)}
     assert [r.drop_last for r in runs] == [False] + [True] * 5
+
+
+@pytest.mark.parametrize("hidden", [(), (4,), (5, 3)])
+def test_runs_share_their_products(hidden):
+    rng = np.random.default_rng(5)
+    x, y = rng.normal(size=(30, 6)), (rng.random(30) < 0.4).astype(float)
+    shapes, norms = training.layer_shapes(6, hidden), [None, 0.3, 5.0]
+    weights = np.array([training.first_weights(6, hidden, s) for s in "abc"])
+    expected = [training.clipped(training.row_gradients(w, shapes, x, y), norm).sum(axis=0) for w, norm in zip(weights, norms)]
+    assert np.allclose(training.clipped_sums(weights, shapes, x, y, norms), expected, atol=1e-12)
+
+
+def test_batches_are_packed_in_pieces(spark, monkeypatch):
+    # Batches larger than a piece, one of them over two shares: all rows come, in order.
+    monkeypatch.setattr(training, "ROWS_AT_ONCE", 4)
+    rows = [(b, s, u, f"k{u}", [float(u), float(b)], float(u % 2)) for b, s, n in ((0, 0, 9), (0, 1, 3), (2, 0, 4)) for u in range(n)]
+    df = spark.createDataFrame(rows[::-1], "batch long, share int, unit long, row_key string, features array<float>, label double")
+    made = sorted(training.packed(df.repartition(3), "row_key").collect(), key=lambda r: (r["batch"], r["share"], r["piece"]))
+    assert [(r["batch"], r["share"], len(r["label"]) // 8) for r in made] == [(0, 0, 4), (0, 0, 4), (0, 0, 1), (0, 1, 3), (2, 0, 4)]
+    units = [u for r in made for u in np.frombuffer(r["unit"], "i8")]
+    assert units == [r[2] for r in rows]
+    assert np.concatenate([np.frombuffer(r["features"], "f4") for r in made]).reshape(-1, 2)[:, 0].tolist() == [float(u) for u in units]
