@@ -1,5 +1,6 @@
 """Draws, repair, tree model, re-weighting."""
 
+import hashlib
 from collections import Counter
 from itertools import product
 
@@ -330,3 +331,13 @@ def test_copies_are_exact_over_buckets(spark, monkeypatch):
     got = reweight.whole_copies(df, 1500, 700, "s").collect()
     assert sum(r["copies"] for r in got) == 1500
     assert all(abs(r["copies"] - r["weight"] / total * 1500) <= 1.0 + 1e-9 for r in got)
+
+
+@pytest.mark.parametrize("prefix", ["", "42|move|0|1|2", "é" * 27, "b" * 54, "f" * 64, "g" * 130])
+def test_draws_of_a_batch_are_those_of_single_keys(prefix, monkeypatch):
+    # All widths of numbers, and keys of one, two and three blocks of the hash; several parts of a batch.
+    monkeypatch.setattr(repair_blocks, "DRAWS_AT_ONCE", 7)
+    numbers = np.r_[0:30, 10 ** np.arange(1, 18), 10 ** np.arange(1, 18) - 1]
+    digests = [hashlib.md5(f"{prefix}|{i}".encode()).digest() for i in numbers]
+    expected = [(int.from_bytes(d[:8], "big") >> 12) / 2.0**52 for d in digests]
+    assert repair_blocks.uniforms(prefix, numbers).tolist() == expected
