@@ -39,7 +39,34 @@ ERROR = 0.05
 
 
 def repeated_words(words: Column) -> Column:
-    """Words inside 3-word windows that occur twice or more in the array."""
+    """Words inside 3-word windows that occur twice or more in the array.
+
+    Windows are sorted as whole numbers first, the upper bits of a window's hash before its place, which is far cheaper than sorting
+    structs; whole hashes are compared only among neighbours whose upper bits agree.
+    """
+
+    def hashed(i: Column) -> Column:
+        return F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2))
+
+    def window(i: Column) -> Column:
+        return F.struct(hashed(i).alias("h"), i.alias("i"))
+
+    def candidates(bits: Column) -> Column:
+        """Windows whose upper bits are those of another one, as structs in order."""
+
+        def packed(i: Column) -> Column:
+            return F.call_function("shiftleft", hashed(i), bits).bitwiseOR(i.cast("long"))
+
+        def near(x: Column, y: Column) -> Column:
+            return F.call_function("shiftrightunsigned", x.bitwiseXOR(y), bits) == 0
+
+        def alike(ordered: Column) -> Column:
+            kept = F.filter(ordered, lambda x, k: near(x, F.get(ordered, k + 1)) | near(x, F.get(ordered, k - 1)))
+            number = F.call_function("shiftleft", F.lit(1).cast("long"), bits) - 1
+            found = F.transform(kept, lambda x: window(x.bitwiseAND(number).cast("int")))
+            return F.sort_array(found)
+
+        return let(F.sort_array(F.transform(starts, packed)), alike)
 
     def spots(ordered: Column) -> Column:
         same = F.filter(
@@ -53,26 +80,26 @@ def repeated_words(words: Column) -> Column:
         reach = F.transform(at, lambda p, k: F.least(F.lit(3), F.coalesce(F.get(at, k + 1) - p, F.lit(3))))
         return total(reach.cast("array<bigint>"))
 
-    def window(i: Column) -> Column:
-        h = F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2))
-        return F.struct(h.alias("h"), i.alias("i"))
-
     starts = F.sequence(F.lit(0), F.size(words) - 3)
-    counted = let(let(F.sort_array(F.transform(starts, window)), spots), covered)
+    counted = let(let(let(F.length(F.bin(F.size(words))), candidates), spots), covered)
     return F.when(F.size(words) < 4, F.lit(0).cast("long")).otherwise(counted)
 
 
 def measures(body: Column) -> Column:
     """struct of what the rules need, from one text."""
-    lines = F.filter(F.split(body, "\n"), lambda x: F.length(F.translate(x, " \t\n\x0b\x0c\r", "")) > 0)
-    by_word = let(pieces(body, SPACES), lambda w: F.struct(F.size(w).alias("n"), repeated_words(w).alias("repeated")))
+    # A text in which the symbols stand between parts has one part more than symbols.
+    symbols = F.size(F.split(body, f"[{SYMBOLS}]")) - 1
+    lines = F.filter(F.split(body, "\n"), lambda x: x.rlike("[^\\x20\\x09-\\x0D]"))
+    by_word = let(pieces(body, SPACES), lambda w: F.struct(
+        F.size(w).alias("n"), F.length(F.array_join(w, "")).alias("chars"), repeated_words(w).alias("repeated")
+    ))
     by_line = let(lines, lambda x: F.struct(F.size(x).alias("n"), F.size(F.array_distinct(x)).alias("distinct")))
 
     def named(m: Column) -> Column:
         return F.struct(
             m["word"]["n"].cast("long").alias("n_words"),
-            F.length(F.translate(body, " \t\n\x0b\x0c\r", "")).cast("long").alias("word_chars"),
-            (F.length(body) - F.length(F.translate(body, SYMBOLS, ""))).cast("long").alias("n_symbols"),
+            m["word"]["chars"].cast("long").alias("word_chars"),
+            symbols.cast("long").alias("n_symbols"),
             m["line"]["n"].cast("long").alias("n_lines"),
             (m["line"]["n"] - m["line"]["distinct"]).cast("long").alias("n_dup_lines"),
             m["word"]["repeated"].alias("n_repeat_words"),

@@ -407,6 +407,32 @@ def test_repeated_words_count_covered_words(spark):
         assert got[i] == len({j + d for j in range(len(w) - 2) if c[tuple(w[j : j + 3])] > 1 for d in range(3)})
 
 
+def test_measures_equal_plain_counts(spark):
+    """Blanks, symbols at both ends, characters beyond ASCII, and windows that occur often or once among many."""
+    texts = [
+        None, "", " ", "a", "#", "$a# b%\n#\n\n \t\n#", "\x0b\x0c\r\n|", "\U0001f600 z\U0001f600 & \x85 \x1c b\n<\n<", "x " * 3000,
+        " ".join(f"w{i % 700}" for i in range(1000)), " ".join(f"w{i}" for i in range(1500)) + " w0 w1 w2",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["row"]["doc_id"]: tuple(r)[1:] for r in quality_rules.measured(docs).collect()}
+    for i, t in enumerate(texts):
+        t = t or ""
+        w = [x for x in re.split(r"[\x20\x09-\x0D]+", t) if x]
+        lines = [x for x in t.split("\n") if x.strip(" \t\n\x0b\x0c\r")]
+        c = Counter(zip(w, w[1:], w[2:]))
+        often = {j + d for j, x in enumerate(zip(w, w[1:], w[2:])) if c[x] > 1 for d in range(3)}
+        symbols = sum(x in quality_rules.SYMBOLS for x in t)
+        assert got[i] == (len(w), sum(map(len, w)), symbols, len(lines), len(lines) - len(set(lines)), len(often))
+
+
+def test_windows_are_not_sorted_as_structs(spark):
+    """Sorting a struct for each window took most of the time of the rules; only windows that may occur twice are structs."""
+    docs = spark.createDataFrame([(1, "a b c d e")], "doc_id long, text string")
+    plan = quality_rules.measured(docs)._jdf.queryExecution().optimizedPlan().toString()
+    made_of_places = plan.split("sequence(")[1].split("lambdafunction(")[1]
+    assert not made_of_places.startswith("struct(")
+
+
 def test_licences_match_after_normalising(spark, odd):
     text = dict(license_scan.KNOWN)["ISC"]
     docs = spark.createDataFrame(
