@@ -31,11 +31,11 @@ from tabveil.llm.pieces import Vocabulary, bytes_of, units_of
 
 SHARPNESS = 1 / 2000
 SEED = 42
-KNOWN_STATES = 750_000
+KNOWN_STATES = 300_000
 DRAW_BITS = 30
-BATCH_CHARS = 1 << 20
+BATCH_CHARS = 1 << 18
 # Units up to this many characters are filtered together, this many at once, place by place; longer ones alone.
-TOGETHER_CHARS, UNITS_TOGETHER = 64, 50_000
+TOGETHER_CHARS, UNITS_TOGETHER = 64, 8_000
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -62,10 +62,10 @@ class Lattices:
         self.clear()
 
     def clear(self) -> None:
+        self.tables = None
         self.final: dict[str, int] = {}
         self.limits, self.target, self.emit = array("q"), array("i"), array("i")
         self.n_states = 1  # state 0: the start
-        self.tables = None
 
     def atom(self, raw: bytes) -> int:
         if raw not in self.atoms:
@@ -163,10 +163,9 @@ class Lattices:
                 if u not in final:
                     final[u] = self.add(u)
         if self.tables is None:
-            self.tables = tuple(
-                np.array(np.frombuffer(x, kind)) for x, kind in ((self.limits, "i8"), (self.target, "i4"), (self.emit, "i4"))
-            )
-        return np.array([final[u] for u in units], "i8")
+            # Views, let go before anything is appended.
+            self.tables = tuple(np.frombuffer(x, kind) for x, kind in ((self.limits, "i8"), (self.target, "i4"), (self.emit, "i4")))
+        return np.fromiter(map(final.__getitem__, units), "i8", len(units))
 
     def sample(self, states: np.ndarray, streams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(emitted, number emitted per unit): draws from the ends of all units to their starts."""
@@ -230,9 +229,10 @@ def sample_pieces(
     seed: int = SEED, keep: tuple[str, ...] = ("doc_id",),
 ) -> DataFrame:
     """``keep``, ``ids`` and ``decoded`` (from the ids) of each row."""
-    rows = docs.select(
-        F.coalesce(F.col(key).cast("long"), F.lit(0)).alias("key"), content(text).alias("body"), F.struct(*keep).alias("row")
-    )
+    # A text that is kept goes to the workers in its row, not twice.
+    within = list(keep).index(text) if text in keep else None
+    body = [content(text).alias("body")] if within is None else []
+    rows = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(0)).alias("key"), F.struct(*keep).alias("row"), *body)
     schema = rows.select("row").schema.add("ids", T.ArrayType(T.IntegerType())).add("decoded", "string")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -240,12 +240,13 @@ def sample_pieces(
         for batch in batches:
             name = f"sampler_{zlib.crc32(model)}_{sharpness}_{seed}"
             sampler = sampler or once_per_worker(name, lambda: Sampler(model, sharpness, seed))
+            bodies = batch.column(2) if within is None else batch.column(1).field(within)
             at = 0
             while at < batch.num_rows:
                 # Rows up to a bounded number of characters; a longer text stands alone.
                 texts, size = [], 0
-                for value in batch.column(1)[at : at + 2000]:
-                    texts.append(value.as_py())
+                for value in bodies[at : at + 2000]:
+                    texts.append(value.as_py() or "")
                     size += len(texts[-1])
                     if size >= BATCH_CHARS:
                         break
@@ -256,7 +257,7 @@ def sample_pieces(
                 decoded = [sampler.decode(listed[a:b]) for a, b in zip(ends[:-1], ends[1:])]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column(2),
+                        part.column(1),
                         pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32())),
                         pa.array(decoded, pa.string()),
                     ],

@@ -274,6 +274,26 @@ def test_sampling_is_lossless_and_repeatable(odd, corpus, pieces):
     assert all(sp.decode(list(r["ids"])) == r["text"] for r in got)
 
 
+def test_sampling_holds_little_beside_its_texts(spark, pieces):
+    """Two workers stand beside an executor's JVM: many new units at once may not take hundreds of megabytes, nor a text go twice."""
+    import tracemalloc
+
+    sampler = piece_sampling.Sampler(pieces, piece_sampling.SHARPNESS, 1)
+    sampler.vocabulary.tree()
+    text = " ".join(f"unit{i * 7919}" for i in range(120_000))
+    tracemalloc.start()
+    sampler.encode([1], [text])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 140e6  # 194 MB with 50,000 units together
+    docs = spark.createDataFrame([(1, "some text", "x")], "doc_id long, text string, other string")
+    for keep, columns in ((("doc_id", "text"), ["key", "row"]), (("doc_id",), ["key", "row", "body"])):
+        made = piece_sampling.sample_pieces(docs, pieces, keep=keep)
+        plan = made._jdf.queryExecution().analyzed().toString()
+        sent = re.search(r"MapInArrow encode\(([^)]*)\)", plan).group(1)
+        assert re.findall(r"(\w+)#", sent) == columns
+
+
 def test_sampling_has_the_lattice_distribution(pieces):
     sampler = piece_sampling.Sampler(pieces, 1 / 3000, 1)
     unit, vocabulary = "▁there", Vocabulary(pieces)
