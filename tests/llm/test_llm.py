@@ -202,6 +202,21 @@ def test_long_lines_that_share_rare_words_are_no_candidates(spark):
     assert (0, 60) in pairs and len(pairs) < 90
 
 
+def test_lines_with_any_separators_have_sorted_distinct_tokens(spark):
+    """A line of one blank between words is split without a pattern; tokens are sorted where that is compiled, not inside a lambda."""
+    texts = ["a b c", "c\tb a", " a  b\x0bc \r", "c b\x0ca a b", "a\x85b c", "a b\u2003c", "\t", "a\tb", "A B C", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    ranks = line_dedup.rarity(docs, "text")
+    table = line_dedup.line_table(line_dedup.distinct_rows(docs, "doc_id", "text"), ranks)
+    made = {r["key"]: (r["n"], r["s1"]) for r in table.collect()}
+    sets = {i: set(words((t or "").lower())) for i, t in enumerate(texts)}
+    assert made.keys() == {i for i, x in sets.items() if x} and all(made[i][0] == len(sets[i]) for i in made)
+    assert all((made[i][1] == made[j][1]) == (sets[i] == sets[j]) for i in made for j in made)
+    assert "array(sort_array" not in table._jdf.queryExecution().optimizedPlan().toString()
+    t = docs.select(line_dedup.tokens(F.lit(" ".join(f"w{i % 40}" for i in range(80))), ranks).alias("t")).first()["t"]
+    assert t == sorted(t) and len(t) == 40
+
+
 def test_lines_of_documents_that_share_an_id(spark):
     """Each row has a place of its own: different texts with one id or none, and equal rows."""
     same = "one two three four five six seven eight nine ten"
