@@ -1,6 +1,7 @@
 """Draws, repair, tree model, re-weighting."""
 
 import hashlib
+import re
 from collections import Counter
 from itertools import product
 
@@ -341,3 +342,18 @@ def test_draws_of_a_batch_are_those_of_single_keys(prefix, monkeypatch):
     digests = [hashlib.md5(f"{prefix}|{i}".encode()).digest() for i in numbers]
     expected = [(int.from_bytes(d[:8], "big") >> 12) / 2.0**52 for d in digests]
     assert repair_blocks.uniforms(prefix, numbers).tolist() == expected
+
+
+def test_records_are_dealt_with_their_codes_in_words(spark):
+    """A pass without visits gives back all records, largest codes and many columns included; few columns are shuffled."""
+    sizes = {"a": 1, "b": 2, "c": 32_768, "d": 32_769, "e": 10_000_000} | {f"f{i}": 200 for i in range(6)}
+    codes = list(sizes)
+    made = [(b, i, *[(z - 1 - i) % z for z in sizes.values()]) for b in (0, 3) for i in range(50)]
+    synth = spark.createDataFrame(made, ", ".join(f"{c} {'long' if c == 'row_id' else 'int'}" for c in ("budget_id", "row_id", *codes)))
+    out = repair_blocks.repair_pass(synth, {}, [], sizes, [0, 3], 50, None, "s")
+    assert out.schema == synth.schema and sorted(map(tuple, out.collect())) == sorted(made)
+    places = repair_blocks.word_places(codes, sizes)
+    assert 1 + max(word for word, _, _ in places.values()) == 2
+    assert all(first + bits <= 63 and sizes[c] <= 1 << bits for c, (_, first, bits) in places.items())
+    sent = re.search(r"MapInArrow run\(([^)]*)\)", out._jdf.queryExecution().sparkPlan().toString()).group(1)
+    assert re.findall(r"(\w+)#", sent) == ["budget_id", "row_id", "_block", "_word0", "_word1"]
