@@ -357,3 +357,28 @@ def test_records_are_dealt_with_their_codes_in_words(spark):
     assert all(first + bits <= 63 and sizes[c] <= 1 << bits for c, (_, first, bits) in places.items())
     sent = re.search(r"MapInArrow run\(([^)]*)\)", out._jdf.queryExecution().sparkPlan().toString()).group(1)
     assert re.findall(r"(\w+)#", sent) == ["budget_id", "row_id", "_block", "_word0", "_word1"]
+
+
+def test_differences_are_counted_without_writing_the_records(spark, folder, monkeypatch):
+    """The records are read once; beside them only small tables are staged, and those of the rows go when the targets are there."""
+    from tabveil.catalog import synthesis
+
+    labels, stage = [], synthesis.stage
+    monkeypatch.setattr(synthesis, "stage", lambda df, label: labels.append(label) or stage(df, label))
+    assert synthesis.repair_surpluses(spark, folder).count() > 0
+    assert "records" not in labels
+
+
+def test_coded_rows_are_all_that_preparing_leaves(spark, folder):
+    from pathlib import Path
+
+    from tabveil.catalog.tables import MICRODATA, microdata
+    from tabveil.plans import common
+    from tabveil.session import scratch_folder
+    from tabveil.spec import SynthesisSettings
+
+    tables = Path(scratch_folder(spark)) / "tabveil"
+    before = set(tables.iterdir()) if tables.exists() else set()
+    source = common.prepare(microdata(spark, folder), MICRODATA, SynthesisSettings(seed="s"))
+    assert [x.name.split("-")[0] for x in set(tables.iterdir()) - before] == ["coded"]
+    assert source.train.count() == source.train_rows and source.test.count() > 0
